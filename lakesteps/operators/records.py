@@ -71,12 +71,13 @@ class FieldRule:
     """Where a field lies inside an item: a chain of elements, then an attribute or the text.
 
     With both ``attr`` and ``text`` the attribute is preferred and the text is the fallback. An
-    empty chain means the item itself.
+    empty chain means the item itself. ``sep`` stands between the text pieces of nested tags.
     """
 
     path: tuple[Element, ...] = ()
     attr: str | None = None
     text: bool = False
+    sep: str = " "
 
 
 @dataclass(frozen=True)
@@ -89,7 +90,7 @@ class ListingRule:
 LISTING_EPOCH = ListingRule(
     Element("article", ("item-news", "item-news-common")),
     {
-        "title": FieldRule((Element("h3", ("title-news",)), Element("a")), text=True),
+        "title": FieldRule((Element("h3", ("title-news",)), Element("a")), text=True, sep=""),
         "url": FieldRule((Element("h3", ("title-news",)), Element("a")), attr="href"),
         "summary": FieldRule((Element("p", ("description",)), Element("a")), text=True),
         "published": FieldRule(attr="data-publishtime"),
@@ -98,7 +99,8 @@ LISTING_EPOCH = ListingRule(
 LISTING_ISO = ListingRule(
     Element("div", ("box-category-item",)),
     {
-        "title": FieldRule((Element("a", ("box-category-link-title",)),), attr="title", text=True),
+        "title": FieldRule(
+            (Element("a", ("box-category-link-title",)),), attr="title", text=True, sep=""),
         "url": FieldRule((Element("a", ("box-category-link-title",)),), attr="href"),
         "summary": FieldRule((Element("a", ("box-category-sapo",)),), attr="title", text=True),
         "published": FieldRule((Element("div", ("box-time",)),), attr="title"),
@@ -169,7 +171,10 @@ class _Listing(HTMLParser):
             self._finish()
 
     def _finish(self):
-        texts = {n: " ".join(p for p in parts if p) for n, parts in self.pieces.items()}
+        texts = {
+            n: self.rule.fields[n].sep.join(p for p in parts if p)
+            for n, parts in self.pieces.items()
+        }
         self.records.append({n: self.values.get(n, texts.get(n, "")) for n in self.rule.fields})
         self.item_depth = None
 

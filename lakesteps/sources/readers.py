@@ -74,8 +74,9 @@ def union_feeds(
 ) -> tuple[DataFrame | None, list[tuple[str, list[str]]]]:
     """Text columns of all usable feeds, and the feeds rejected with the columns they lack.
 
-    A missing or empty file is skipped. The rows carry ``_feed``, the place of their file in
-    ``paths``, as the first part of an input order.
+    A missing or empty file is skipped. The rows carry their input order for later keep-first
+    steps: ``_feed`` is the place of the file in ``paths``, ``_line`` rises within the file. Both
+    are set by the scan itself, before any shuffle.
     """
     frames, rejected = [], []
     for i, path in enumerate(paths):
@@ -88,7 +89,8 @@ def union_feeds(
         if missing:
             rejected.append((path, missing))
         else:
-            frames.append(feed.withColumn("_feed", F.lit(i)))
+            frames.append(feed.withColumns({
+                "_feed": F.lit(i), "_line": F.monotonically_increasing_id()}))
     return (union_all(frames, allow_missing=True) if frames else None), rejected
 
 
