@@ -86,7 +86,8 @@ def merge_batch(
                 staged)
         rows = spark.read.schema(batch.schema).parquet(staged)
         if not rows.isEmpty():
-            (rows.repartition(F.col(date)).write.mode("overwrite")
+            # rebalance groups a day's rows into files but splits a day that holds very many
+            (rows.hint("rebalance", F.col(date)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(out))
 
     return merge
@@ -114,10 +115,15 @@ def stream_merge(
     keys: Sequence[str],
     ordinal: Sequence[str],
     days: int = 29,
+    output_mode: str = "append",
 ) -> StreamingQuery:
-    """Late and corrected rows replace stored ones by key, the last in ``ordinal`` winning."""
+    """Late and corrected rows replace stored ones by key, the last in ``ordinal`` winning.
+
+    With ``output_mode="update"`` a streaming aggregate keeps its table current, the day in
+    progress included.
+    """
     merge = merge_batch(out, date, keys, ordinal, days, f"{checkpoint.rstrip('/')}-staged")
     return (
-        stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        stream.writeStream.foreachBatch(merge).outputMode(output_mode)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
