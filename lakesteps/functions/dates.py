@@ -13,8 +13,12 @@ _EPOCH_LO, _EPOCH_HI = -62135596800, 253402300799
 
 
 def parse_date_strict(c: Column) -> Column:
-    """``yyyy-MM-dd`` only. A cast would also take ``2024-05`` and ``2024``."""
-    return F.try_to_date(c, "yyyy-MM-dd")
+    """``yyyy-MM-dd`` only.
+
+    A cast alone would also take ``2024-05`` and ``2024``; behind the pattern it is exact, and far
+    cheaper than a formatter.
+    """
+    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}\z"), c.try_cast("date"))
 
 
 def parse_partial_date(c: Column) -> Column:
@@ -26,12 +30,12 @@ def parse_partial_date(c: Column) -> Column:
         F.substring(text, 7, 1).try_cast("int"),
     )
     full = (
-        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text)
-        .when(text.rlike(r"^\d{4}-\d{2}$"), F.concat(text, F.lit("-01")))
-        .when(text.rlike(r"^\d{4}-Q[1-4]$"), F.concat(year, quarter_month, F.lit("-01")))
-        .when(text.rlike(r"^\d{4}$"), F.concat(text, F.lit("-01-01")))
+        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), text)
+        .when(text.rlike(r"^\d{4}-\d{2}\z"), F.concat(text, F.lit("-01")))
+        .when(text.rlike(r"^\d{4}-Q[1-4]\z"), F.concat(year, quarter_month, F.lit("-01")))
+        .when(text.rlike(r"^\d{4}\z"), F.concat(text, F.lit("-01-01")))
     )
-    return parse_date_strict(full)
+    return full.try_cast("date")
 
 
 def parse_or_null(c: Column, formats: Sequence[str], to: str = "date") -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -38,12 +40,16 @@ def clean_text(c: Column) -> Column:
 
 
 def contains_any(cols: Sequence[Column], terms: Sequence[str]) -> Column:
-    """True where the lower-cased, blank-joined texts contain one of the terms."""
+    """True where the lower-cased, blank-joined texts contain one of the terms.
+
+    The joined text is the one element of an array, so that it is built once per row and not once
+    per term.
+    """
     text = F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in cols]))
-    hit = F.lit(False)
-    for term in terms:
-        hit = hit | text.contains(term.lower())
-    return hit
+    wanted = list(dict.fromkeys(t.lower() for t in terms))
+    if not wanted:
+        return F.lit(False)
+    return F.exists(F.array(text), lambda x: reduce(or_, [x.contains(t) for t in wanted]))
 
 
 def surrogate_key(cols: Sequence[Column], sep: str = "_", method: str = "md5") -> Column:

@@ -9,6 +9,8 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from lakesteps.session import spread_small
+
 
 def explode_json_records(
     df: DataFrame, col: str, schema: T.StructType, keep: Sequence[str] = ()
@@ -197,7 +199,7 @@ def extract_records(
     """``keep`` columns, ``pos`` and one text column per field, one row per listed item.
 
     Real listings nest, so each page goes through the standard HTML parser, in Arrow batches and
-    without a shuffle. ``prefix`` is put before field names that clash with a kept column.
+    without a shuffle, but for inputs too small to fill the cores. ``prefix`` is put before field names that clash with a kept column.
     """
     kept, names = list(keep), [prefix + n for n in rule.fields]
     schema = T.StructType(
@@ -216,4 +218,4 @@ def extract_records(
                     rows.append((*values[:-1], pos, *record.values()))
             yield pd.DataFrame(rows, columns=schema.names)
 
-    return pages.select(*kept, html).mapInPandas(parse, schema)
+    return spread_small(pages.select(*kept, html)).mapInPandas(parse, schema)

@@ -18,7 +18,7 @@ def unpivot_long(
 ) -> DataFrame:
     """One row per id and value column."""
     long = df.unpivot([F.col(c) for c in ids], [F.col(c) for c in values], key, value)
-    return long.dropna(subset=[value]) if drop_null else long
+    return long.where(F.col(value).isNotNull()) if drop_null else long
 
 
 def pivot_last(

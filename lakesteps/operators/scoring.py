@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lakesteps.functions.text import clean_text
+from lakesteps.session import spread_small
 
 # Model label, score, stored label; and the text scored in place of an empty one.
 POSITIVE = ("POS", 1, "Tích cực")
@@ -35,7 +36,8 @@ def model_input(c: Column, max_chars: int | None = None) -> Column:
     text = F.coalesce(clean_text(c), F.lit(""))
     if max_chars is not None:
         text = F.substring(text, 1, max_chars)
-    return F.when(F.trim(text) == "", F.lit(EMPTY_TEXT)).otherwise(text)
+    # a cleaned text starts with a word, so only an empty one is blank
+    return F.regexp_replace(text, "^$", EMPTY_TEXT)
 
 
 def score_text(
@@ -72,7 +74,7 @@ def score_text(
                 labels.extend(got)
             yield pd.Series(labels)
 
-    scored = df.withColumn("_label", model_label(model_input(F.col(col), max_chars)))
+    scored = spread_small(df).withColumn("_label", model_label(model_input(F.col(col), max_chars)))
     if observation is not None:
         failed = F.count_if(F.col("_label") == "FAILED").alias("failed")
         scored = scored.observe(observation, failed)
@@ -102,8 +104,15 @@ def word_list_scorer(positive: Sequence[str], negative: Sequence[str]) -> Callab
 
 
 def word_list_label(c: Column, positive: Sequence[str], negative: Sequence[str]) -> Column:
-    """The word-list model as a column expression, without leaving the JVM."""
-    words = F.split(F.lower(model_input(c)), " ")
-    good = F.size(F.filter(words, lambda w: w.isin(list(positive))))
-    bad = F.size(F.filter(words, lambda w: w.isin(list(negative))))
-    return map_label(F.when(good > bad, "POS").when(good < bad, "NEG").otherwise("NEU"))
+    """The word-list model as a column expression, without leaving the JVM: one pass over the
+    words that counts up and down."""
+    words = F.split(F.lower(F.coalesce(clean_text(c), F.lit(""))), " ")
+
+    def step(balance, w):
+        return balance + (
+            F.when(w.isin(list(positive)), 1).when(w.isin(list(negative)), -1).otherwise(0))
+
+    def label(balance):
+        return F.when(balance > 0, "POS").when(balance < 0, "NEG").otherwise("NEU")
+
+    return map_label(F.aggregate(words, F.lit(0), step, label))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -29,8 +31,12 @@ def with_processed_at(df: DataFrame, name: str = "dbt_processed_at") -> DataFram
 
 
 def require(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows in which every named column has a value."""
-    return df.dropna(subset=list(cols))
+    """Rows in which every named column has a value.
+
+    Spelled out as ``IS NOT NULL`` conditions because these reach the Parquet scan, which
+    ``dropna`` does not.
+    """
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in cols]))
 
 
 def require_text(df: DataFrame, col: str) -> DataFrame:

@@ -56,3 +56,18 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Hand an input too small to fill the cores evenly to all of them.
+
+    A file of a few megabytes is one split, and costly work per row would keep one core busy. The
+    planner's size estimate decides; an input of at least one full split per core keeps its splits
+    and is not shuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * split else df

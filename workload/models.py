@@ -112,7 +112,7 @@ def news_feed(t):
     return t("documents").join(t("labels"), "doc_id", "left").select(
         F.format_string(" a%d", "doc_id").alias("article_id"),
         F.date_add(F.lit("2020-01-01").cast("date"), (F.col("n_chars") % 2400).cast("int")).alias("publish_date"),
-        F.nullif(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit("")).alias("title"),
+        F.nullif(F.substring_index("text", "\n", 1), F.lit("")).alias("title"),
         F.col("text").alias("summary"),
         F.concat(F.lit("\xa0https://"), "source", F.lit("/"), "lang", F.lit("/"),
                  F.col("n_chars").cast("string"), F.lit(" ")).alias("url"),
@@ -413,7 +413,7 @@ WHERE stat_year >= 2020 AND stat_month BETWEEN 1 AND 12""",
 def tourism_fact(t):
     views, events = silver_views(t), event_feed(t)
     news = views["news"]
-    articles = materialize(gold.dim_news(news), "dim-news")
+    articles = gold.dim_news(news)
     sentiments = gold.dim_sentiment(news)
     fact = gold.fact_monthly(
         silver.silver_statistics(statistics_feed(t)),
