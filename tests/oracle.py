@@ -33,7 +33,10 @@ def _kind(v):
 
 
 def differences(spark, con, query, sql: str, sf_dir: str, show: int = 3) -> list[str]:
-    df = query(spark, sf_dir)
+    return frame_differences(query(spark, sf_dir), con, sql, show)
+
+
+def frame_differences(df, con, sql: str, show: int = 3) -> list[str]:
     names = sorted(df.columns)
     got = [tuple(r[n] for n in names) for r in df.collect()]
     cursor = con.execute(sql)
