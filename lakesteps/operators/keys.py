@@ -13,16 +13,25 @@ _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
 
-def dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str) -> DataFrame:
+def dense_key(
+    df: DataFrame, order_by: Sequence[Column | str], name: str, ties: bool = False
+) -> DataFrame:
     """Number all rows 1..N in ``order_by``, without bringing them into one task.
 
     The rows are range-partitioned and sorted, each gets its place within its partition, and the
     result is written once so that the places can no longer move. The counts of the partitions
     (one row each, so their number is bounded by the partitions) then give every partition its
-    offset. ``order_by`` should leave no ties: a value that fills a third of the rows is split
-    over tasks only by the columns after it.
+    offset.
+
+    ``order_by`` must leave no ties, or ``ties`` must be set: rows that tie, such as copies of one
+    row, are then first given a written running number, so that even a third of the table being
+    copies is spread over many tasks.
     """
+    columns = df.columns
     order = [F.col(o) if isinstance(o, str) else o for o in order_by]
+    if ties:
+        df = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), "dense-key-ties")
+        order.append(F.col("_tie"))
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -39,7 +48,7 @@ def dense_key(df: DataFrame, order_by: Sequence[Column | str], name: str) -> Dat
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .select(key.cast("bigint").alias(name), *df.columns)
+        .select(key.cast("bigint").alias(name), *columns)
     )
 
 

@@ -88,7 +88,7 @@ def new_or_changed(
     """
     compared = [c for c in new.columns if c not in ignore and c not in key]
     seen = old.select(*key, F.struct(*compared).alias("_old")) if compared else old.select(*key)
-    condition = [new[k] == seen[k] for k in key]
+    condition = [new[k].eqNullSafe(seen[k]) for k in key]
     if compared:
         condition.append(F.struct(*[new[c] for c in compared]).eqNullSafe(seen["_old"]))
     return new.join(seen, condition, "left_anti")

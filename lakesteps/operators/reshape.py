@@ -34,7 +34,8 @@ def pivot_last(
     ``values`` is stated by the caller, which saves the job that would look for them and keeps
     the schema fixed. One conditional aggregate per column, partial on the map side.
     """
-    at = F.struct(*ordinal)
+    # a single column keeps the aggregate a hash aggregate; a struct would make it sort
+    at = F.col(ordinal[0]) if len(ordinal) == 1 else F.struct(*ordinal)
     wide = [
         F.max_by(F.when(F.col(column) == v, F.col(value)),
                  F.when((F.col(column) == v) & F.col(value).isNotNull(), at)).alias(v)

@@ -16,6 +16,7 @@ from lakesteps.operators.reshape import (
 )
 from lakesteps.operators.scoring import Scorer, score_text
 from lakesteps.operators.select import with_lineage
+from lakesteps.session import materialize
 from lakesteps.sources.readers import union_feeds
 
 
@@ -124,13 +125,15 @@ def trend_refresh(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Reload a window of days: ``(long table, wide table, mark)``.
 
-    The mark is a one-row frame to be saved after the tables. Rows of one day and keyword within
+    The merged rows are written once; the wide table and the mark are made from them. The mark is
+    a one-row frame to be saved after the tables. Rows of one day and keyword within
     the new groups are unique, as the outer join has merged them.
     """
     new = trend_long(groups, anchor, crawl_time=crawl_time)
     keys = ["search_date", "keyword"]
     long = new if old is None else overwrite_window(old, new, "search_date", window[0], keys)
-    long = long.withColumn("search_interest", L.to_long(F.col("search_interest")))
-    wide = pivot_last(long, "search_date", "keyword", "search_interest", keywords, keys)
+    long = materialize(
+        long.withColumn("search_interest", L.to_long(F.col("search_interest"))), "trend-long")
+    wide = pivot_last(long, "search_date", "keyword", "search_interest", keywords, ["search_date"])
     mark = long.agg(F.max("search_date").cast("string").alias("last_date"))
     return long, wide, mark

@@ -57,7 +57,7 @@ def dim_event(events: DataFrame, locations: DataFrame, repair_dates: bool = Fals
         "event_name", "start_date", "end_date", "location_key", "category"
     )
     order = ["start_date", "event_name", "end_date", "location_key", "category"]
-    return dense_key(keyed, [F.col(c).asc_nulls_first() for c in order], "event_key")
+    return dense_key(keyed, [F.col(c).asc_nulls_first() for c in order], "event_key", ties=True)
 
 
 def dim_news(silver: DataFrame) -> DataFrame:

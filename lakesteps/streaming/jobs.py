@@ -82,8 +82,10 @@ def merge_batch(
         spark = batch.sparkSession
         staged = f"{staging.rstrip('/')}/batch-{batch_id}"
         if not path_exists(spark, f"{staged}/_SUCCESS"):
-            _merged(spark, batch, out, date, keys, ordinal, days).write.mode("overwrite").parquet(
-                staged)
+            batch.persist()
+            merged = _merged(spark, batch, out, date, keys, ordinal, days)
+            merged.write.mode("overwrite").parquet(staged)
+            batch.unpersist()
         rows = spark.read.schema(batch.schema).parquet(staged)
         if not rows.isEmpty():
             # rebalance groups a day's rows into files but splits a day that holds very many
@@ -94,19 +96,29 @@ def merge_batch(
 
 
 def _merged(spark, batch, out, date, keys, ordinal, days) -> DataFrame:
-    if not path_exists(spark, out):
+    newest = newest_folder(spark, out, date)
+    if newest is None:
         return keep_last(batch, keys, ordinal)
+    timely = batch.where(F.col(date) >= F.date_sub(F.lit(newest).cast("date"), days))
+    # one value per calendar day: a literal list prunes the stored folders for certain
+    touched = [r[0] for r in timely.select(date).distinct().collect()]
     stored = spark.read.schema(batch.schema).parquet(out)
-    newest = stored.agg(F.max(date)).first()[0]
-    timely = batch
-    if newest is not None:
-        timely = batch.where(F.col(date) >= F.date_sub(F.lit(newest), days))
-    touched = timely.select(date).distinct()
-    affected = stored.join(touched, date, "left_semi").select(*batch.columns)
+    affected = stored.where(F.col(date).isin(touched)).select(*batch.columns)
     rows = affected.withColumn("_age", F.lit(0)).unionByName(timely.withColumn("_age", F.lit(1)))
     return keep_last(rows, keys, [*ordinal, "_age"]).drop("_age")
 
 
+def newest_folder(spark: SparkSession, path: str, column: str) -> str | None:
+    """The highest value among the ``column=value`` folders of a table; no file is opened."""
+    if not path_exists(spark, path):
+        return None
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [entry.getPath().getName() for entry in entries]
+    values = [n.split("=", 1)[1] for n in names if n.startswith(f"{column}=")]
+    return max((v for v in values if not v.startswith("__")), default=None)
+
+
 def stream_merge(
     stream: DataFrame,
     out: str,

@@ -107,6 +107,8 @@ def test_new_or_changed(spark):
     new = spark.createDataFrame([(1, "a", 2), (2, None, 2), (3, "C", 2), (4, "d", 2)], ddl)
     assert rows(new_or_changed(old, new, ["k"], ignore=["at"])) == [(3, "C", 2), (4, "d", 2)]
     assert new_or_changed(old, new, ["k"]).count() == 4
+    nothing = spark.createDataFrame([(None, "x", 1)], ddl)
+    assert new_or_changed(nothing, nothing, ["k"]).count() == 0
 
 
 def test_take_until_marker(spark):
@@ -141,6 +143,16 @@ def test_dense_key_never_uses_one_task_for_the_rows(spark):
     assert "HashAggregate" in before
 
 
+def test_dense_key_spreads_copies(spark):
+    """A third of the rows are copies of one row; they still get keys of their own."""
+    df = spark.createDataFrame([("copy" if i % 3 == 0 else f"v{i:04d}",) for i in range(900)], "v string").repartition(4)
+    keyed = dense_key(df, ["v"], "key", ties=True)
+    assert keyed.columns == ["key", "v"]
+    got = sorted(map(tuple, keyed.collect()))
+    assert [k for k, _ in got] == list(range(1, 901))
+    assert [v for _, v in got] == sorted(v for _, v in got)
+
+
 def test_dense_key_of_nothing(spark):
     assert dense_key(spark.range(0), ["id"], "key").count() == 0
 
