@@ -38,7 +38,8 @@ def minmax_scale(
     """Add ``{out: col}`` scaled to 0..``scale``.
 
     A NULL value or a constant column gives NULL, or ``null_to`` where that is set. An output
-    named in ``invert`` is ``1 - x`` before scaling.
+    named in ``invert`` is ``1 - x`` before scaling. The input is read twice, the first time for the
+    scaled columns only; write a costly one first.
     """
     source = list(dict.fromkeys(cols.values()))
     rows = df.withColumn("_stats", global_stats(df, source))

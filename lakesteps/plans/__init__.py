@@ -1,5 +1,8 @@
 """Composite models built from the operators."""
 
+from lakesteps.plans.articles import (  # noqa: F401
+    epoch_listing, fresh_articles, iso_listing, json_listing, refresh_articles,
+)
 from lakesteps.plans.bronze import (  # noqa: F401
     news_bronze, trend_refresh, weather_bronze,
 )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from lakesteps.operators.quality import SILVER_RULES, check
 from lakesteps.operators.rollup import union_all
 from lakesteps.plans import gold, silver
+from lakesteps.session import materialize
 from lakesteps.sources.catalog import Catalog
 
 
@@ -39,10 +40,15 @@ def build_gold(
     catalog: Catalog, views: Mapping[str, DataFrame], events: DataFrame,
     repair_event_dates: bool = False,
 ) -> dict[str, DataFrame]:
-    """Build every gold table in the order of its inputs. Each is written once and read back, so
-    the monthly fact is computed once for its three readers."""
-    news, trend = views["stg_news_cleansed"], views["stg_trend_cleansed"]
-    weather, flight = views["stg_weather_cleansed"], views["stg_flight_cleansed"]
+    """Build every gold table in the order of its inputs.
+
+    Each table is written once and read back, so the monthly fact is computed once for its three
+    readers. The silver views that several tables read are computed once as well.
+    """
+    news, trend, weather, flight = (
+        materialize(views[f"stg_{name}_cleansed"], f"silver-{name}")
+        for name in ("news", "trend", "weather", "flight")
+    )
     built: dict[str, DataFrame] = {}
 
     def table(name: str, df: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from lakesteps import schemas
 from lakesteps.operators import check, word_list_scorer
 from lakesteps.operators.quality import SILVER_RULES
 from lakesteps.plans import (
-    build_gold, build_silver, check_silver, dim_event, dim_location, fact_monthly, fact_news,
-    health_index_a, health_index_b, monthly_mart, news_bronze, scenario_table, silver_events,
+    build_gold, build_silver, check_silver, dim_event, dim_location, fact_news,
+    monthly_mart, news_bronze, refresh_articles, silver_events,
     silver_flight, silver_news, silver_statistics, silver_trend, silver_weather, trend_refresh,
     weather_bronze,
 )
@@ -186,6 +186,24 @@ def test_mart_is_one_row_per_month(built):
     assert mart.count() == 3 and len(mart.columns) == 15
 
 
+# ---- article refresh
+
+def test_refresh_articles(spark):
+    ddl = "article_id string, publish_date date, title string, summary string, url string"
+    old = spark.createDataFrame([("1", D(2024, 1, 1), "old", "s", "u1"), ("2", D(2024, 1, 2), "kept", "s", "u2")], ddl)
+    found = spark.createDataFrame([
+        ("4", D(2024, 1, 4), "new", "s", "u4", 0, 0), ("4x", D(2024, 1, 4), "seen", "s", "u4", 0, 1),
+        ("1", D(2024, 1, 3), "again", "s", "u1b", 0, 2), ("2", D(2024, 1, 2), "known", "s", "u2", 1, 0),
+        ("0", D(2023, 1, 1), "older", "s", "u0", 1, 1)], ddl + ", page int, pos int")
+    articles, mark = refresh_articles(old, found, ["page", "pos"], "u2")
+    assert rows(articles, "article_id", "title") == [("1", "again"), ("2", "kept"), ("4", "new")]
+    got = mark.first()
+    assert (got.last_article_id, got.last_article_url, got.last_publish_date, got.total_articles) == ("4", "u4", "2024-01-04", 3)
+    unchanged, no_mark = refresh_articles(old, found, ["page", "pos"], "u4")
+    assert rows(unchanged) == rows(old) and no_mark.isEmpty()
+    assert refresh_articles(old, found, ["page", "pos"])[0].count() == 4
+
+
 # ---- bronze loads
 
 def test_weather_bronze(spark):

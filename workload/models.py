@@ -10,10 +10,11 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from lakesteps.operators import word_list_scorer
+from lakesteps.operators import keep_first, word_list_scorer
 from lakesteps.operators.rollup import high_water_value
 from lakesteps.operators.merge import reprocess_window
 from lakesteps.plans import bronze, gold, silver
+from lakesteps.plans.articles import refresh_articles
 from lakesteps.plans.build import check_silver
 from lakesteps.session import materialize
 from workload.cleaning import (
@@ -567,6 +568,43 @@ def model_news_bronze(t):
         F.md5("summary").alias("summary_md5"), "source", "url", "sentiment_score", "sentiment_label")
 
 
+# Documents as listed articles, newest first by number; the stored table holds the later ones.
+LINK = "'https://' || lang || '/' || n_chars"
+cte("listed", f"""SELECT md5(u) AS article_id, DATE '2024-01-01' + CAST(n_chars % 300 AS INTEGER) AS publish_date,
+  'new ' || source AS title, md5(text) AS summary, u AS url, doc_id
+FROM (SELECT *, {LINK} AS u FROM documents)""")
+cte("fresh", """SELECT * FROM listed WHERE doc_id < (SELECT min(doc_id) FROM listed
+  WHERE url = (SELECT url FROM listed WHERE doc_id = 150))
+QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1""", "listed")
+cte("refreshed", """SELECT article_id, publish_date, title, summary, url FROM (
+  SELECT *, 0 AS age FROM fresh UNION ALL SELECT * REPLACE ('old' AS title), 1 FROM (
+    SELECT * FROM listed WHERE doc_id >= 100 QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1))
+QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY age) = 1""", "listed", "fresh")
+
+
+def article_refresh(t):
+    url = F.concat(F.lit("https://"), "lang", F.lit("/"), F.col("n_chars").cast("string"))
+    listed = t("documents").withColumn("url", url).select(
+        F.md5("url").alias("article_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n_chars") % 300).cast("int")).alias("publish_date"),
+        F.concat(F.lit("new "), "source").alias("title"), F.md5("text").alias("summary"), "url", "doc_id")
+    last_url = listed.where("doc_id = 150").select("url").first().url
+    old = keep_first(listed.where("doc_id >= 100"), ["url"], ["doc_id"]).withColumn("title", F.lit("old"))
+    return refresh_articles(old, listed, ["doc_id"], last_url)
+
+
+@query("model_article_refresh", with_ctes("SELECT * FROM refreshed", "refreshed"))
+def model_article_refresh(t):
+    return article_refresh(t)[0]
+
+
+@query("model_article_mark", with_ctes("""
+SELECT article_id AS last_article_id, url AS last_article_url, CAST(publish_date AS VARCHAR) AS last_publish_date,
+  (SELECT count(*) FROM refreshed) AS total_articles FROM fresh ORDER BY doc_id LIMIT 1""", "fresh", "refreshed"))
+def model_article_mark(t):
+    return article_refresh(t)[1].drop("last_update")
+
+
 RUN_DAY = date(2024, 1, 27)
 
 

@@ -7,14 +7,12 @@ from datetime import date
 
 from pyspark.sql import functions as F, types as T
 
-from lakesteps import functions as L
 from lakesteps.operators import (
     explode_json_records, explode_lateral, extract_pattern_records, extract_records, json_field,
-    outer_join_all, pivot_last, require_text, union_all, unpivot_long, zip_arrays_to_rows,
-)
-from lakesteps.operators.records import (
-    Element, FieldRule, LISTING_EPOCH, LISTING_ISO, ListingRule,
+    outer_join_all, pivot_last, union_all, unpivot_long, zip_arrays_to_rows,
 )
+from lakesteps.operators.records import Element, FieldRule, ListingRule
+from lakesteps.plans.articles import epoch_listing, iso_listing, json_listing
 from lakesteps.session import shared_dir
 from lakesteps.sources import (
     append, export_csv, load_mark, read_delimited, read_inferred_csv, read_partition,
@@ -120,12 +118,9 @@ def html_listing_epoch(t):
         '<h3 class="title-news"><a href="">No link</a></h3></article></div>',
         seconds, F.replace("url", F.lit("&"), F.lit("&amp;")), "page_id", "page_id")
     pages = t("pages").select("page_id", item.alias("html"))
-    rows = require_text(extract_records(pages, LISTING_EPOCH, keep=["page_id"]), "url")
-    return rows.select(
-        "page_id", F.md5("url").alias("article_id"),
-        # the title pieces of nested tags are joined without a blank
-        F.replace("title", F.lit("Page"), F.lit("Page ")).alias("title"), "url", "summary",
-        L.epoch_to_date(F.col("published")).alias("publish_date"))
+    # the title pieces of nested tags are joined without a blank
+    title = F.replace("title", F.lit("Page"), F.lit("Page "))
+    return epoch_listing(pages, keep=["page_id"]).withColumn("title", title).drop("pos")
 
 
 @query("html_listing_iso", """
@@ -140,11 +135,20 @@ def html_listing_iso(t):
         '</a><a class="box-category-sapo">Sapo <i>%d</i></a><div class="box-time" title="%s"></div></div>',
         F.replace("url", F.lit("&"), F.lit("&amp;")), "page_id", "page_id", stamp)
     pages = t("pages").select("page_id", item.alias("html"))
-    rows = extract_records(pages, LISTING_ISO, keep=["page_id"])
-    url = L.absolute_url(F.col("url"), "https://site.example")
-    return rows.select(
-        "page_id", F.md5(url).alias("article_id"), "title", url.alias("url"), "summary",
-        L.iso_to_date(F.col("published")).alias("publish_date"))
+    return iso_listing(pages, ["page_id"], "https://site.example").drop("pos")
+
+
+@query("json_listing", """
+SELECT page_id, CAST(page_id AS VARCHAR) AS article_id, DATE '2024-03-05' AS publish_date,
+  'Sự kiện ' || page_id AS title, 'ở ĐÀ NẴNG' AS summary, url
+FROM pages WHERE starts_with(url, 'https')""")
+def json_articles(t):
+    place = F.when(F.col("url").startswith("https"), "ở ĐÀ NẴNG").otherwise("ở nơi khác")
+    body = F.format_string(
+        '[{"Title": " Sự kiện %d ", "Headlines": "%s", "LinktoMe2": "%s", '
+        '"Time_yyyyMMddHHmmss": "2024-03-05 06:07", "PublisherId": %d}]',
+        "page_id", place, "url", "page_id")
+    return json_listing(t("pages").select("page_id", body.alias("body")), "body", ["page_id"])
 
 
 # ---- long and wide
