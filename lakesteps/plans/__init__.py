@@ -4,7 +4,7 @@ from lakesteps.plans.articles import (  # noqa: F401
     epoch_listing, fresh_articles, iso_listing, json_listing, refresh_articles,
 )
 from lakesteps.plans.bronze import (  # noqa: F401
-    news_bronze, trend_refresh, weather_bronze,
+    flight_bronze, news_bronze, trend_refresh, weather_bronze,
 )
 from lakesteps.plans.build import build_gold, build_silver, check_silver  # noqa: F401
 from lakesteps.plans.gold import (  # noqa: F401

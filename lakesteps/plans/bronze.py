@@ -9,17 +9,35 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakesteps import schemas
 from lakesteps import functions as L
+from lakesteps.functions.text import DOMESTIC_AIRPORTS
 from lakesteps.operators.dedup import keep_first, keep_last
 from lakesteps.operators.merge import backfill, new_or_changed, overwrite_window
 from lakesteps.operators.reshape import (
     outer_join_all, pivot_last, unpivot_long, zip_arrays_to_rows,
 )
+from lakesteps.operators.rollup import class_counts
 from lakesteps.operators.scoring import Scorer, score_text
 from lakesteps.operators.select import with_lineage
 from lakesteps.session import materialize
 from lakesteps.sources.readers import union_feeds
 
 
+def flight_bronze(
+    arrivals: DataFrame, heading: str, origin: str, year: Column,
+    data_source: str = "Flightradar24",
+) -> DataFrame:
+    """Arrivals under day headings (``Wednesday, May 1``) to one row of counts per day.
+
+    Arrivals without a readable heading are left out, days without arrivals have no row.
+    """
+    kind = L.class_by_membership(F.col(origin), DOMESTIC_AIRPORTS, "domestic_flights", "international_flights")
+    dated = arrivals.select(
+        L.heading_to_date(F.col(heading), year).alias("flight_date"), kind.alias("_kind")
+    ).where(F.col("flight_date").isNotNull())
+    counts = class_counts(dated, "flight_date", "_kind", ["domestic_flights", "international_flights"])
+    return counts.withColumnRenamed("total", "total_flights").withColumn("data_source", F.lit(data_source))
+
+
 def weather_days(responses: DataFrame, col: str, source: str) -> DataFrame:
     """JSON responses with one array per measure to one row per day."""
     daily = F.from_json(F.col(col), schemas.WEATHER_RESPONSE).getField("daily")
@@ -97,11 +115,25 @@ def news_bronze(
     return score_news(news_updates(rows, ["_feed", "_line"], loaded), scorer_factory)
 
 
+# Lineage labels, and the keyword groups with the keyword they share.
 TREND_SOURCE, TREND_SYSTEM = "google_trends", "pytrends"
+TREND_ANCHOR = "danang"
+TREND_GROUPS = {
+    "group_1": ["danang", "danang city", "da nang vietnam", "da nang travel"],
+    "group_2": ["danang", "bana hills danang", "dragon bridge da nang", "lady buddha danang",
+                "marble mountain da nang"],
+    "group_3": ["danang", "da nang hotel", "danang beach hotel", "da nang resort",
+                "hotel in da nang"],
+    "group_4": ["danang", "danang international airport", "motorbike rental da nang",
+                "danang airport transfer"],
+    "group_5": ["danang", "son tra night market", "danang beach", "things to do in da nang",
+                "weather da nang"],
+}
+TREND_KEYWORDS = list(dict.fromkeys(k for group in TREND_GROUPS.values() for k in group))
 
 
 def trend_long(
-    groups: Sequence[DataFrame], anchor: str, date: str = "date",
+    groups: Sequence[DataFrame], anchor: str = TREND_ANCHOR, date: str = "date",
     crawl_time: Column | None = None,
 ) -> DataFrame:
     """Wide keyword groups that share an anchor keyword to one row per day and keyword."""
@@ -119,8 +151,8 @@ def trend_refresh(
     old: DataFrame | None,
     groups: Sequence[DataFrame],
     window: tuple[Date, Date],
-    anchor: str,
-    keywords: Sequence[str],
+    anchor: str = TREND_ANCHOR,
+    keywords: Sequence[str] = TREND_KEYWORDS,
     crawl_time: Column | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Reload a window of days: ``(long table, wide table, mark)``.

@@ -26,9 +26,12 @@ def read_stream(
 
 
 def with_event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
-    """Watermark on ``ts``; a timestamp without zone is read in the session zone first."""
+    """Watermark on ``ts``, which needs an instant: a timestamp without zone is read as UTC, whatever
+    the session zone is."""
     if dict(stream.dtypes)[ts] != "timestamp":
-        stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+        seconds = F.unix_date(F.to_date(ts)) * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+        stream = stream.withColumn(
+            ts, F.timestamp_seconds(seconds + F.extract(F.lit("SECOND"), F.col(ts))))
     return stream.withWatermark(ts, delay)
 
 
@@ -56,11 +59,10 @@ def stream_dedup(stream: DataFrame, ts: str, delay: str, keys: Sequence[str]) ->
 
 
 def stream_daily_counts(stream: DataFrame, ts: str, cls: str, delay: str) -> DataFrame:
-    """Rows per day and class in one-day windows."""
+    """Rows per UTC day and class in one-day windows."""
     windowed = with_event_time(stream, ts, delay).groupBy(F.window(ts, "1 day"), cls)
-    return windowed.agg(F.count(F.lit(1)).alias("n")).select(
-        F.to_date("window.start").alias("day"), cls, "n"
-    )
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("window.start") / 86400).cast("int"))
+    return windowed.agg(F.count(F.lit(1)).alias("n")).select(day.alias("day"), cls, "n")
 
 
 def write_stream(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

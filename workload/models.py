@@ -605,6 +605,18 @@ def model_article_mark(t):
     return article_refresh(t)[1].drop("last_update")
 
 
+@query("model_flight_bronze", """
+SELECT CAST(ts AS DATE) AS flight_date, count(*) FILTER (event_type IN ('click', 'view')) AS domestic_flights,
+  count(*) FILTER (event_type NOT IN ('click', 'view')) AS international_flights, count(*) AS total_flights,
+  'Flightradar24' AS data_source FROM events WHERE event_type <> 'error' GROUP BY 1""")
+def model_flight_bronze(t):
+    kind = F.col("event_type")
+    origin = F.when(kind == "click", "HAN").when(kind == "view", "SGN").otherwise("SIN")
+    heading = F.when(kind == "error", "no heading").otherwise(F.date_format("ts", "EEEE, MMM d"))
+    arrivals = t("events").select(heading.alias("heading"), origin.alias("origin"), F.year("ts").alias("y"))
+    return bronze.flight_bronze(arrivals, "heading", "origin", F.col("y"))
+
+
 RUN_DAY = date(2024, 1, 27)
 
 
