@@ -6,8 +6,9 @@ a schedule may start it as often as it likes.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,9 +54,29 @@ def stream_append(
     return _writer(read_stream(spark, path, schema, fmt), out, checkpoint).start()
 
 
+def first_per_batch(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first row per key of each Arrow batch, before any shuffle.
+
+    A streaming deduplication has no map-side step of its own: all rows of a key travel to the task
+    that holds its state. This leaves at most one row per key and batch to travel, however much of
+    the stream one key fills.
+    """
+    names = list(keys)
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = {name: batch.column(name) for name in names}
+            places = pa.table({**columns, "_place": pa.array(range(batch.num_rows), pa.int64())})
+            first = places.group_by(names).aggregate([("_place", "min")])["_place_min"]
+            yield batch.take(first.combine_chunks().sort())
+
+    return df.mapInArrow(thin, df.schema)
+
+
 def stream_dedup(stream: DataFrame, ts: str, delay: str, keys: Sequence[str]) -> DataFrame:
     """The first row of each key within the delay. The state expires with the watermark."""
-    return with_event_time(stream, ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    thinned = first_per_batch(stream, keys)
+    return with_event_time(thinned, ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def stream_daily_counts(stream: DataFrame, ts: str, cls: str, delay: str) -> DataFrame:

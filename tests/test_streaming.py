@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from lakesteps.operators import keep_last
 from lakesteps.streaming import (
-    merge_batch, read_stream, stream_append, stream_daily_counts, stream_dedup, stream_merge,
+    first_per_batch, merge_batch, read_stream, stream_append, stream_daily_counts, stream_dedup, stream_merge,
     write_stream,
 )
 
@@ -85,6 +85,18 @@ def test_dedup_and_daily_counts(spark, tmp_path):
     assert sorted(map(tuple, got.select(*names).collect())) == sorted(map(tuple, want.select(*names).collect()))
 
 
+def test_hot_keys_are_thinned_before_the_shuffle(spark):
+    data = [(i, None if i % 5 == 0 else "hot" if i % 3 else f"k{i}", (1 << 60) + i) for i in range(600)]
+    df = spark.createDataFrame(data, "i int, k string, big bigint").coalesce(1)
+    got = sorted(map(tuple, first_per_batch(df, ["k"]).collect()))
+    seen, want = set(), []
+    for row in data:
+        if row[1] not in seen:
+            seen.add(row[1])
+            want.append(row)
+    assert got == want
+
+
 def test_keep_last_over_an_appended_table(spark):
     df = spark.createDataFrame([(D(2024, 1, 1), "a", 1, 1), (D(2024, 1, 1), "a", 2, 2)], DDL)
     assert rows(keep_last(df, ["day", "k"], ["o"])) == [(D(2024, 1, 1), "a", 2, 2)]
