@@ -87,8 +87,8 @@ def new_or_changed(
     ``ignore`` names columns such as a load time that do not count as a change.
     """
     compared = [c for c in new.columns if c not in ignore and c not in key]
-    seen = old.select(*key, F.struct(*compared).alias("_old")) if compared else old.select(*key)
-    condition = [new[k].eqNullSafe(seen[k]) for k in key]
-    if compared:
-        condition.append(F.struct(*[new[c] for c in compared]).eqNullSafe(seen["_old"]))
-    return new.join(seen, condition, "left_anti")
+    # the stored side gets names of its own, so that both sides may come from one table
+    row = F.struct(F.lit(1).alias("_same"), *compared)
+    seen = old.select(*[F.col(k).alias(f"_old_{k}") for k in key], row.alias("_old_row"))
+    same_key = [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in key]
+    return new.join(seen, [*same_key, row.eqNullSafe(F.col("_old_row"))], "left_anti")

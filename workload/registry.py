@@ -31,11 +31,16 @@ def query(name: str, sql: str | None = None):
 
 
 class Tables:
+    """The tables of one folder; each is opened once, as opening one reads its schema."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._opened: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._opened[name]
 
 
 def cte(name: str, sql: str, *needs: str) -> None:
