@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakesteps.sources.writers import replace
+
 
 class Catalog:
     """Layer names to DataFrames: views are recomputed on read, tables are written once."""
@@ -21,7 +23,7 @@ class Catalog:
         return self.spark.table(name)
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
-        """Build the whole table anew and return it as read back."""
+        """Build the whole table anew, even from itself, and return it as read back."""
         path = f"{self.warehouse}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        replace(df, path)
         return self.register(name, self.spark.read.schema(df.schema).parquet(path))

@@ -135,11 +135,13 @@ def new_or_changed_orders(t):
     return new_or_changed(old.select(*cols), orders.select(*cols), ["o_orderkey"])
 
 
+# The marker is the event of the highest value: one row that goes to the driver, as a stored mark would.
 @query("take_until_marker", f"""
-SELECT {FEED_COLS} FROM events WHERE (ts, event_id) > coalesce(
-  (SELECT max((ts, event_id)) FROM events WHERE event_id = 700), (TIMESTAMP '1900-01-01', 0))""")
+SELECT {FEED_COLS} FROM events WHERE (ts, event_id) > (
+  SELECT max((ts, event_id)) FROM events WHERE event_id = (SELECT max_by(event_id, (value, event_id)) FROM events))""")
 def take_until_marker_events(t):
-    return take_until_marker(_feed(t), ["ts", "event_id"], "event_id", 700).drop("ts")
+    marker = t("events").agg(F.max_by("event_id", F.struct("value", "event_id"))).first()[0]
+    return take_until_marker(_feed(t), ["ts", "event_id"], "event_id", marker).drop("ts")
 
 
 @query("newest_record", """

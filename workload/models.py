@@ -568,28 +568,30 @@ def model_news_bronze(t):
         F.md5("summary").alias("summary_md5"), "source", "url", "sentiment_score", "sentiment_label")
 
 
-# Documents as listed articles, newest first by number; the stored table holds the later ones.
+# Documents as listed articles, newest first by number. The stored table holds them all in an older
+# state; the last known link is that of the longest document.
 LINK = "'https://' || lang || '/' || n_chars"
 cte("listed", f"""SELECT md5(u) AS article_id, DATE '2024-01-01' + CAST(n_chars % 300 AS INTEGER) AS publish_date,
   'new ' || source AS title, md5(text) AS summary, u AS url, doc_id
 FROM (SELECT *, {LINK} AS u FROM documents)""")
-cte("fresh", """SELECT * FROM listed WHERE doc_id < (SELECT min(doc_id) FROM listed
-  WHERE url = (SELECT url FROM listed WHERE doc_id = 150))
+cte("fresh", f"""SELECT * FROM listed WHERE doc_id < (SELECT min(doc_id) FROM listed
+  WHERE url = (SELECT max_by(u, (n_chars, doc_id)) FROM (SELECT *, {LINK} AS u FROM documents)))
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1""", "listed")
 cte("refreshed", """SELECT article_id, publish_date, title, summary, url FROM (
   SELECT *, 0 AS age FROM fresh UNION ALL SELECT * REPLACE ('old' AS title), 1 FROM (
-    SELECT * FROM listed WHERE doc_id >= 100 QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1))
+    SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc_id) = 1))
 QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY age) = 1""", "listed", "fresh")
 
 
 def article_refresh(t):
     url = F.concat(F.lit("https://"), "lang", F.lit("/"), F.col("n_chars").cast("string"))
-    listed = t("documents").withColumn("url", url).select(
+    documents = t("documents").withColumn("url", url)
+    listed = documents.select(
         F.md5("url").alias("article_id"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n_chars") % 300).cast("int")).alias("publish_date"),
         F.concat(F.lit("new "), "source").alias("title"), F.md5("text").alias("summary"), "url", "doc_id")
-    last_url = listed.where("doc_id = 150").select("url").first().url
-    old = keep_first(listed.where("doc_id >= 100"), ["url"], ["doc_id"]).withColumn("title", F.lit("old"))
+    last_url = documents.agg(F.max_by("url", F.struct("n_chars", "doc_id"))).first()[0]
+    old = keep_first(listed, ["url"], ["doc_id"]).withColumn("title", F.lit("old"))
     return refresh_articles(old, listed, ["doc_id"], last_url)
 
 

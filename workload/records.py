@@ -247,7 +247,7 @@ def csv_roundtrip(t):
     append(days.hint("rebalance", "ds"), f"{root}/days", partition_by=["ds"])
     mark_path = f"{root}/mark"
     save_mark(days.agg(F.max("ds").cast("string").alias("last_date")), mark_path)
-    save_mark(days.where("event_id < 0").select(F.col("ds").cast("string").alias("last_date")), mark_path)
+    save_mark(days.limit(0).select(F.col("ds").cast("string").alias("last_date")), mark_path)
     mark = load_mark(spark, mark_path, "last_date string")
     marks = spark.range(1).select(F.lit("last_date").alias("k"), F.lit(mark.last_date).alias("v"))
     return union_all([

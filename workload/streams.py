@@ -14,12 +14,13 @@ from lakesteps.streaming import (
 from workload.registry import query
 
 
-def _arrivals(t, *cols):
-    """The event table as a folder of files, and a place for the job's output."""
+def _arrivals(t):
+    """Where the event files lie, their schema, and a place for the job's output.
+
+    The pattern also takes a table that is one file, which a stream would not read by its name.
+    """
     root = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
-    events = t("events").select("event_id", "ts", "user_id", "event_type", "value")
-    events.repartitionByRange(4, "event_id").write.parquet(f"{root}/in")
-    return root, events.schema
+    return f"{t.sf_dir}/event[s].parquet", t("events").schema, root
 
 
 def _finish(job):
@@ -28,26 +29,28 @@ def _finish(job):
 
 @query("stream_append", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_append_events(t):
-    root, schema = _arrivals(t)
+    path, schema, root = _arrivals(t)
     for _ in range(2):  # the second run finds nothing new
-        _finish(stream_append(t.spark, f"{root}/in", schema, f"{root}/out", f"{root}/cp", "parquet"))
-    return t.spark.read.schema(schema).parquet(f"{root}/out").drop("ts")
+        _finish(stream_append(t.spark, path, schema, f"{root}/out", f"{root}/cp", "parquet"))
+    rows = t.spark.read.schema(schema).parquet(f"{root}/out")
+    return rows.select("event_id", "user_id", "event_type", "value")
 
 
 @query("stream_append_dedup", """
 SELECT event_id, user_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
 def stream_append_dedup(t):
-    root, schema = _arrivals(t)
-    _finish(stream_append(t.spark, f"{root}/in", schema, f"{root}/out", f"{root}/cp", "parquet"))
+    path, schema, root = _arrivals(t)
+    _finish(stream_append(t.spark, path, schema, f"{root}/out", f"{root}/cp", "parquet"))
     rows = t.spark.read.schema(schema).parquet(f"{root}/out")
-    return keep_last(rows, ["user_id", "event_type"], ["ts", "event_id"]).drop("ts")
+    kept = keep_last(rows, ["user_id", "event_type"], ["ts", "event_id"])
+    return kept.select("event_id", "user_id", "event_type", "value")
 
 
 @query("stream_dedup", "SELECT DISTINCT user_id FROM events")
 def stream_dedup_users(t):
-    root, schema = _arrivals(t)
-    stream = read_stream(t.spark, f"{root}/in", schema, "parquet").select("ts", "user_id")
+    path, schema, root = _arrivals(t)
+    stream = read_stream(t.spark, path, schema, "parquet").select("ts", "user_id")
     rows = stream_dedup(stream, "ts", "60 days", ["user_id"])
     _finish(write_stream(rows.select("user_id"), f"{root}/out", f"{root}/cp"))
     return t.spark.read.schema("user_id bigint").parquet(f"{root}/out")
@@ -56,8 +59,8 @@ def stream_dedup_users(t):
 @query("stream_daily", """
 SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def stream_daily(t):
-    root, schema = _arrivals(t)
-    stream = read_stream(t.spark, f"{root}/in", schema, "parquet", maxFilesPerTrigger=2)
+    path, schema, root = _arrivals(t)
+    stream = read_stream(t.spark, path, schema, "parquet")
     counts = stream_daily_counts(stream, "ts", "event_type", "40 days")
     _finish(stream_merge(counts, f"{root}/out", f"{root}/cp", "day", ["day", "event_type"], ["n"],
                          days=60, output_mode="update"))
@@ -68,8 +71,8 @@ def stream_daily(t):
 SELECT CAST(ts AS DATE) AS day, user_id, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id DESC) = 1""")
 def stream_merge_users(t):
-    root, schema = _arrivals(t)
-    stream = read_stream(t.spark, f"{root}/in", schema, "parquet", maxFilesPerTrigger=2).select(
+    path, schema, root = _arrivals(t)
+    stream = read_stream(t.spark, path, schema, "parquet").select(
         F.to_date("ts").alias("day"), "user_id", "event_id", "value")
     _finish(stream_merge(stream, f"{root}/out", f"{root}/cp", "day", ["day", "user_id"], ["event_id"],
                          days=60))
