@@ -87,8 +87,19 @@ def new_or_changed(
     ``ignore`` names columns such as a load time that do not count as a change.
     """
     compared = [c for c in new.columns if c not in ignore and c not in key]
+
+    def digest(*values: Column) -> Column:
+        # one digest per row, so that the stored side is shuffled as key and digest, not as rows
+        row = F.struct(F.lit(1).alias("_"), *[v.alias(c) for c, v in zip(compared, values)])
+        return F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)
+
+    types = {c: new.schema[c].dataType for c in compared}
     # the stored side gets names of its own, so that both sides may come from one table
-    row = F.struct(F.lit(1).alias("_same"), *compared)
-    seen = old.select(*[F.col(k).alias(f"_old_{k}") for k in key], row.alias("_old_row"))
-    same_key = [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in key]
-    return new.join(seen, [*same_key, row.eqNullSafe(F.col("_old_row"))], "left_anti")
+    seen = old.select(
+        *[F.col(k).alias(f"_old_{k}") for k in key],
+        digest(*[F.col(c).cast(types[c]) for c in compared]).alias("_old_digest"),
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in key]
+    same.append(F.col("_digest") == F.col("_old_digest"))
+    rows = new.withColumn("_digest", digest(*[F.col(c) for c in compared]))
+    return rows.join(seen, same, "left_anti").drop("_digest")
