@@ -4,9 +4,11 @@ import pytest
 
 import __spark_entry__ as entry_point
 from oracle import connect, frame_differences
+from workload import QUERIES as OWN
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+QUERIES = {k: v for k, v in entry_point.queries().items() if k in OWN}
+SQL = {k: v for k, v in entry_point.oracle_sql().items() if k in OWN}
 
 
 @pytest.fixture(scope="module")
