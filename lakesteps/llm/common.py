@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Rows of one Arrow batch; texts may be long, and a task holds a few batches at a time.
@@ -38,7 +39,7 @@ def small_batches(df: DataFrame) -> None:
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches, cut so that each holds about BATCH_BYTES of ``column``, or one row."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if i > start and held + size > BATCH_BYTES:

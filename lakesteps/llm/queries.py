@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakesteps.llm import exact_dedup, quality_rules
+from lakesteps.llm import bpe, exact_dedup, order_minhash, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -96,3 +96,13 @@ def op10_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(f"quality.{c}" for c in (
             "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
             "kept")))
+
+
+@query("op5_bpe")
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op3_order_minhash")
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
