@@ -156,15 +156,15 @@ def line_first_quality(docs: DataFrame, text: str = "text", rules: LineRules = L
         failed: (col["n_words"] < 20) | (100 * col["repeat"] > 30 * col["n_words"]),
     })
     lost = F.length(col["passed"]) < (1 - rules.lost_share) * F.length(col["text"])
-    return df.select(
-        *(F.col(f"`{c}`") for c in base.columns),
-        F.struct(
-            col["n_words"].alias("n_words"), F.col(word_chars).alias("word_chars"),
-            F.length(F.regexp_replace(col["text"], SYMBOLS, "")).cast("long").alias("n_symbols"),
-            col["n_dup"].alias("n_dup_lines"), col["repeat"].alias("n_repeat_words"),
-            F.col(failed).alias("base_failed"), (~F.col(failed) & ~lost).alias("kept"),
-            col["passed"].alias("clean_text"),
-        ).alias(out))
+    quality = F.struct(
+        col["n_words"].alias("n_words"), F.col(word_chars).alias("word_chars"),
+        F.length(F.regexp_replace(col["text"], SYMBOLS, "")).cast("long").alias("n_symbols"),
+        col["n_dup"].alias("n_dup_lines"), col["repeat"].alias("n_repeat_words"),
+        F.col(failed).alias("base_failed"), (~F.col(failed) & ~lost).alias("kept"),
+        col["passed"].alias("clean_text"))
+    # A filter on the result would be pushed through all steps above, which copies each step into
+    # every use of it; it stops at a generator.
+    return df.select(*(F.col(f"`{c}`") for c in base.columns), F.explode(F.array(quality)).alias(out))
 
 
 def keep_good(docs: DataFrame, text: str = "text", chars: str = "n_chars",

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakesteps.llm import bpe, exact_dedup, order_minhash, quality_rules
+import corpus_pipeline
+from lakesteps.llm import bpe, exact_dedup, mixing, order_minhash, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -106,3 +107,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_order_minhash")
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op1_mixing")
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
