@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lakesteps.llm import bpe, exact_dedup, mixing, order_minhash, quality_rules
+from lakesteps.llm import (
+    arc_warc, bpe, exact_dedup, html_extract, mixing, order_minhash, quality_rules,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -117,3 +119,21 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@query("op8_html_text")
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
+@query("op9_arc_to_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+first AS (SELECT html, max(page_id) AS page FROM p WHERE n >= 1000 GROUP BY html)
+SELECT p.page_id, p.n AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN f.page > p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.page > p.page_id THEN f.page END AS refers_to
+FROM p LEFT JOIN first f USING (html)
+""")
+def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc_warc.archive_round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
