@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from lakesteps.llm import (
-    arc_warc, bpe, exact_dedup, html_extract, mixing, order_minhash, quality_rules,
+    arc_warc, bpe, exact_dedup, html_extract, language_id, mixing, order_minhash, quality_rules,
+    secret_scan, token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +138,18 @@ FROM p LEFT JOIN first f USING (html)
 def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc_warc.archive_round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
