@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakesteps.llm.common import free_name, small_batches, text_or_empty
-from lakesteps.session import shared_dir
+from lakesteps.session import run_dir
 
 #: Records per archive file, so that a reader's task holds one file of bounded size.
 FILE_RECORDS = 2000
@@ -251,7 +251,7 @@ def archive_round_trip(pages: DataFrame, id: str = "page_id", url: str = "url",
     records of their own; an empty table gives no rows. Files lie in the session's shared folder.
     """
     spark = pages.sparkSession
-    base = f"{shared_dir(spark)}/archives-{uuid.uuid4().hex}"
+    base = f"{run_dir(spark)}/archives-{uuid.uuid4().hex}"
     rows = pages.select(*(F.col(f"`{c}`") for c in dict.fromkeys((id, url, html))))
     write_arc(rows, f"{base}/arc", version, id, url, html)
     arc_to_warc(read_arc(spark, f"{base}/arc"), f"{base}/warc")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakesteps.llm.bpe import byte_letters, vocabulary_path
 from lakesteps.llm.common import per_text, text_or_empty
-from lakesteps.session import materialize, shared_dir
+from lakesteps.session import materialize, run_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -76,7 +76,7 @@ def count_tokens(docs: DataFrame, id: str = "doc_id", text: str = "text", name:
     """
     spark = docs.sparkSession
     version = vocabulary_version(name)
-    cache = cache or f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}"
+    cache = cache or f"{run_dir(spark)}/token-cache-{uuid.uuid4().hex}"
     rows = docs.select(F.col(f"`{id}`").alias("id"), text_or_empty(text).alias("text"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
     keys = materialize(rows.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes")),
@@ -91,7 +91,7 @@ def count_tokens(docs: DataFrame, id: str = "doc_id", text: str = "text", name:
         count = counter(name)
         return [(count(t),) for t in texts]
 
-    made = per_text(todo, work, "n_tokens long")
+    made = per_text(todo, work, "n_tokens long").groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     made.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(cache)
     known = keys.join(open_cache(spark, cache, version), "digest")
     return known.select(F.col("id").alias(id), "n_bytes", "n_tokens",
