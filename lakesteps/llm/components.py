@@ -20,11 +20,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .where("u > v").distinct(), "links")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # The minima are written before they are joined, so that a node with very many neighbours
+        # can be split in the join.
         low = both.groupBy("u").agg(F.min("v").alias("m"))
-        low = low.select("u", F.least("u", "m").alias("m"))
+        low = materialize(low.select("u", F.least("u", "m").alias("m")), "links-low")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(large.distinct(), "links-large")
+        lowest = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "links-low")
         small = large.join(lowest, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
