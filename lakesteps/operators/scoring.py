@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lakesteps.functions.text import clean_text
-from lakesteps.session import spread_small
 
 # Model label, score, stored label; and the text scored in place of an empty one.
 POSITIVE = ("POS", 1, "Tích cực")
@@ -31,11 +30,9 @@ def map_label(c: Column) -> Column:
     )
 
 
-def model_input(c: Column, max_chars: int | None = None) -> Column:
-    """Cleaned text, cut where a model takes no more, never empty."""
+def model_input(c: Column) -> Column:
+    """Cleaned text, never empty. A model with an input limit cuts it itself."""
     text = F.coalesce(clean_text(c), F.lit(""))
-    if max_chars is not None:
-        text = F.substring(text, 1, max_chars)
     # a cleaned text starts with a word, so only an empty one is blank
     return F.regexp_replace(text, "^$", EMPTY_TEXT)
 
@@ -45,7 +42,6 @@ def score_text(
     col: str,
     scorer_factory: Callable[[], Scorer],
     batch_size: int = 16,
-    max_chars: int | None = None,
     score: str = "score",
     label: str = "label",
     observation: Observation | None = None,
@@ -54,8 +50,8 @@ def score_text(
 
     Cleaning and label mapping stay in the JVM; only the model call is Python. The model is
     loaded once per task and called with ``batch_size`` texts. A call that fails makes its own
-    texts neutral; ``observation`` then reports their number as ``failed``. Whole texts are
-    scored; ``max_chars`` is for models with an input limit.
+    texts neutral; ``observation`` then reports their number as ``failed``. The model gets whole
+    texts.
     """
 
     @F.pandas_udf("string")
@@ -74,7 +70,7 @@ def score_text(
                 labels.extend(got)
             yield pd.Series(labels)
 
-    scored = spread_small(df).withColumn("_label", model_label(model_input(F.col(col), max_chars)))
+    scored = df.withColumn("_label", model_label(model_input(F.col(col))))
     if observation is not None:
         failed = F.count_if(F.col("_label") == "FAILED").alias("failed")
         scored = scored.observe(observation, failed)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,19 +32,26 @@ def build_session(app: str = "lakesteps", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
-
-    Only a session that names none (a local test run) gets a temporary folder.
-    """
+    """The folder every executor can reach, as the session names it."""
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        path = tempfile.mkdtemp(prefix="lakesteps-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+        raise ValueError(
+            f"set {CHECKPOINT_CONF}, when the session is built, to a folder that the driver and all "
+            "executors share")
     return path.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application; see ``drop_run_dir``."""
+    return f"{shared_dir(spark)}/run-{spark.sparkContext.applicationId}"
+
+
+def drop_run_dir(spark: SparkSession) -> None:
+    """Delete what ``materialize`` has written for this application. Its frames end with it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -53,21 +59,6 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     row values (such as position numbers) can no longer move.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Hand an input too small to fill the cores evenly to all of them.
-
-    A file of a few megabytes is one split, and costly work per row would keep one core busy. The
-    planner's size estimate decides; an input of at least one full split per core keeps its splits
-    and is not shuffled.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df

@@ -1,6 +1,6 @@
 """Structured Streaming jobs."""
 
 from lakesteps.streaming.jobs import (  # noqa: F401
-    first_per_batch, merge_batch, read_stream, stream_append, stream_daily_counts, stream_dedup, stream_merge,
+    latest_per_batch, merge_batch, read_stream, stream_append, stream_daily_counts, stream_dedup, stream_merge,
     with_event_time, write_stream,
 )

@@ -9,7 +9,6 @@ from lakesteps.operators import (
     check, keep_containing, not_null, require, require_text, score_text, union_all, unique,
     word_list_label, word_list_scorer, class_counts,
 )
-from lakesteps.session import spread_small
 from workload.registry import initcap, partial_date, query, rnd, strict_date, trim
 
 
@@ -175,7 +174,7 @@ CLEANED = r"""trim(regexp_replace(regexp_replace(text, '<.*?>', ' ', 'g'), '[^\p
 SELECT doc_id, md5({CLEANED}) AS text_md5, CAST(length({CLEANED}) AS BIGINT) AS text_length
 FROM documents""")
 def text_clean(t):
-    cleaned = spread_small(t("documents").select("doc_id", "text")).select("doc_id", L.clean_text(F.col("text")).alias("cleaned"))
+    cleaned = t("documents").select("doc_id", "text").select("doc_id", L.clean_text(F.col("text")).alias("cleaned"))
     return cleaned.select(
         "doc_id", F.md5("cleaned").alias("text_md5"),
         F.length("cleaned").cast("bigint").alias("text_length"))
@@ -188,7 +187,7 @@ TERMS = ("license", "copyright", "password", "avec", "über", "para", "whthe", "
 SELECT doc_id, lang FROM documents
 WHERE {" OR ".join(f"contains(lower(source || ' ' || text), '{w}')" for w in TERMS)}""")
 def contains_any(t):
-    rows = spread_small(t("documents").select("doc_id", "lang", "source", "text"))
+    rows = t("documents").select("doc_id", "lang", "source", "text")
     return keep_containing(rows, ["source", "text"], TERMS).select("doc_id", "lang")
 
 
@@ -218,7 +217,7 @@ def score_documents(t):
 @query("score_text_native", SCORED_SQL)
 def score_documents_native(t):
     pair = word_list_label(F.col("text"), POSITIVE_WORDS, NEGATIVE_WORDS)
-    rows = spread_small(t("documents").select("doc_id", "text"))
+    rows = t("documents").select("doc_id", "text")
     return rows.select("doc_id", pair.alias("p")).select(
         "doc_id", F.col("p.score").cast("bigint").alias("score"), F.col("p.label").alias("label"))
 

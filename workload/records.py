@@ -13,7 +13,7 @@ from lakesteps.operators import (
 )
 from lakesteps.operators.records import Element, FieldRule, ListingRule
 from lakesteps.plans.articles import epoch_listing, iso_listing, json_listing
-from lakesteps.session import shared_dir
+from lakesteps.session import run_dir
 from lakesteps.sources import (
     append, export_csv, load_mark, read_delimited, read_inferred_csv, read_partition,
     read_typed_csv, replace, save_mark, union_feeds,
@@ -183,7 +183,7 @@ SELECT coalesce(a.day, b.day, c.day) AS day, a.anchor, a.clicks, b.errors, c.big
 FULL JOIN (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS errors FROM orders GROUP BY 1) b
   ON a.day = b.day
 FULL JOIN (SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS big FROM lineitem
-  WHERE l_quantity >= 40 GROUP BY 1) c ON c.day = coalesce(a.day, b.day)""")
+  GROUP BY 1) c ON c.day = coalesce(a.day, b.day)""")
 def outer_join_days(t):
     def daily(df, ts, **counts):
         return df.groupBy(F.to_date(ts).alias("day")).agg(
@@ -192,7 +192,7 @@ def outer_join_days(t):
     everything = F.count(F.lit(1))
     a = daily(t("events"), "ts", anchor=everything, clicks=F.count_if(F.col("event_type") == "click"))
     b = daily(t("orders"), "o_orderdate", anchor=everything, errors=everything)
-    c = daily(t("lineitem").where("l_quantity >= 40"), "l_shipdate", anchor=everything, big=everything)
+    c = daily(t("lineitem"), "l_shipdate", anchor=everything, big=everything)
     return outer_join_all([a, b, c], "day", anchor="anchor")
 
 
@@ -213,7 +213,7 @@ UNION ALL SELECT 'partition', CAST(event_id AS VARCHAR), event_type FROM events
 UNION ALL SELECT 'mark', 'last_date', CAST(CAST(max(ts) AS DATE) AS VARCHAR) FROM events""")
 def csv_roundtrip(t):
     spark = t.spark
-    root = f"{shared_dir(spark)}/files-{uuid.uuid4().hex}"
+    root = f"{run_dir(spark)}/files-{uuid.uuid4().hex}"
     customer, supplier = t("customer"), t("supplier")
 
     def step(name, df, key, value):

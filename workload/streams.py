@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lakesteps.operators import keep_last
-from lakesteps.session import shared_dir
+from lakesteps.session import run_dir
 from lakesteps.streaming import (
     read_stream, stream_append, stream_daily_counts, stream_dedup, stream_merge, write_stream,
 )
@@ -19,7 +19,7 @@ def _arrivals(t):
 
     The pattern also takes a table that is one file, which a stream would not read by its name.
     """
-    root = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    root = f"{run_dir(t.spark)}/stream-{uuid.uuid4().hex}"
     return f"{t.sf_dir}/event[s].parquet", t("events").schema, root
 
 
@@ -63,7 +63,7 @@ def stream_daily(t):
     stream = read_stream(t.spark, path, schema, "parquet")
     counts = stream_daily_counts(stream, "ts", "event_type", "40 days")
     _finish(stream_merge(counts, f"{root}/out", f"{root}/cp", "day", ["day", "event_type"], ["n"],
-                         days=60, output_mode="update"))
+                         output_mode="update"))
     return t.spark.read.schema("day date, event_type string, n bigint").parquet(f"{root}/out")
 
 
@@ -74,7 +74,44 @@ def stream_merge_users(t):
     path, schema, root = _arrivals(t)
     stream = read_stream(t.spark, path, schema, "parquet").select(
         F.to_date("ts").alias("day"), "user_id", "event_id", "value")
-    _finish(stream_merge(stream, f"{root}/out", f"{root}/cp", "day", ["day", "user_id"], ["event_id"],
-                         days=60))
+    _finish(stream_merge(stream, f"{root}/out", f"{root}/cp", "day", ["day", "user_id"], ["event_id"]))
     return t.spark.read.schema("day date, user_id bigint, event_id bigint, value double").parquet(
         f"{root}/out")
+
+
+# Three arrivals, one batch each: later ones correct values, some rows have no date and some lie
+# beyond 2038. The last arrival of a key counts, and in it the largest event.
+@query("stream_merge_batches", """
+WITH a AS (SELECT CASE WHEN user_id % 50 = 0 THEN NULL WHEN user_id % 7 = 0
+      THEN CAST(CAST(ts AS DATE) + INTERVAL 20 YEAR AS DATE) ELSE CAST(ts AS DATE) END AS day,
+    user_id, event_id % 3 AS part, 1000000 - event_id AS event_id, value + event_id % 3 AS value FROM events)
+SELECT day, user_id, event_id, value FROM a
+QUALIFY row_number() OVER (PARTITION BY day, user_id ORDER BY part DESC, event_id DESC) = 1""")
+def stream_merge_batches(t):
+    _, _, root = _arrivals(t)
+    user, date = F.col("user_id"), F.to_date("ts")
+    day = F.when(user % 50 == 0, None).when(user % 7 == 0, F.add_months(date, 240)).otherwise(date)
+    rows = t("events").select(
+        day.alias("day"), "user_id", (F.col("event_id") % 3).alias("part"),
+        (1000000 - F.col("event_id")).alias("event_id"), (F.col("value") + F.col("event_id") % 3).alias("value"))
+    schema = rows.drop("part").schema
+    for part in range(3):  # arrivals are taken in the order in which they were written
+        rows.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = read_stream(t.spark, f"{root}/in", schema, "parquet", maxFilesPerTrigger=1)
+        _finish(stream_merge(stream, f"{root}/out", f"{root}/cp", "day", ["day", "user_id"], ["event_id"]))
+    return t.spark.read.schema(schema).parquet(f"{root}/out")
+
+
+# Keys seen again late and early, in several batches, with times beyond 2038.
+@query("stream_dedup_batches", "SELECT DISTINCT user_id FROM events")
+def stream_dedup_batches(t):
+    _, _, root = _arrivals(t)
+    rows = t("events").select(
+        F.when(F.col("user_id") % 7 == 0, F.col("ts") + F.expr("interval 20 years")).otherwise(F.col("ts")).alias("ts"),
+        "user_id")
+    for part in range(3):
+        rows.where(F.col("user_id") % 3 == part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = read_stream(t.spark, f"{root}/in", rows.schema, "parquet", maxFilesPerTrigger=1)
+    kept = stream_dedup(stream, "ts", "30 years", ["user_id"])
+    _finish(write_stream(kept.select("user_id"), f"{root}/out", f"{root}/cp"))
+    return t.spark.read.schema("user_id bigint").parquet(f"{root}/out")
