@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,38 +24,45 @@ def not_null(column: str) -> Rule:
 
 
 def check(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
-    """``(rule, column, failures)``; a rule passes with 0.
+    """``(rule, column, failures)``; a rule passes with 0. One pass and one shuffle for all rules.
 
-    All ``not_null`` rules share one pass. Each ``unique`` rule reads its own column and counts
-    per value on the map side before its shuffle; its failures are the repeated values.
+    A row gives a 128-bit digest for each ``unique`` rule and a mark for each failed ``not_null``
+    rule; these are counted per value, on the map side first. Failures of ``unique`` are the
+    repeated values. Texts of any length travel as digests.
     """
     rules = list(rules)
-    reports = []
-    nulls = [r.column for r in rules if r.name == "not_null"]
-    if nulls:
-        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(nulls)])
-        rows = [
-            F.struct(F.lit("not_null").alias("rule"), F.lit(c).alias("column"),
-                     F.col(f"_{i}").alias("failures"))
-            for i, c in enumerate(nulls)
-        ]
-        reports.append(counts.select(F.inline(F.array(*rows))))
-    for rule in rules:
+    marks = []
+    for i, rule in enumerate(rules):
+        value = F.col(rule.column)
+        digest = F.when(value.isNull(), F.lit("") if rule.name == "not_null" else None)
         if rule.name == "unique":
-            repeated = (
-                df.where(F.col(rule.column).isNotNull())
-                .groupBy(rule.column).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-            )
-            reports.append(repeated.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit("unique").alias("rule"), F.lit(rule.column).alias("column"), "failures"))
-    return reduce(DataFrame.unionByName, reports)
+            digest = F.md5(value.cast("binary") if dict(df.dtypes)[rule.column] == "string"
+                           else value.cast("string").cast("binary"))
+        marks.append(F.struct(F.lit(i).alias("_rule"), digest.alias("_value")))
+    found = df.select(F.inline(F.array(*marks))).where(F.col("_value").isNotNull())
+    counts = found.groupBy("_rule", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    totals = counts.agg(*[
+        (F.count_if((F.col("_rule") == i) & (F.col("_n") > 1)) if rule.name == "unique"
+         else F.coalesce(F.sum(F.when(F.col("_rule") == i, F.col("_n"))), F.lit(0))
+         ).cast("bigint").alias(f"_{i}") for i, rule in enumerate(rules)])
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"),
+                 F.col(f"_{i}").alias("failures")) for i, r in enumerate(rules)])))
+
+
+def require_checks(report: DataFrame) -> None:
+    """Raise with the failed tests of a report; returns where there is none."""
+    failed = report.where("failures > 0").collect()  # at most a row per rule
+    if failed:
+        raise ValueError("column tests failed: " + "; ".join(
+            ", ".join(f"{k}={v}" for k, v in row.asDict().items()) for row in failed))
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
-# The column tests of the silver layer. The article date is tested under the name it has there.
+# The column tests of the silver layer. The article date is tested under the name it has there.
 SILVER_RULES: dict[str, list[Rule]] = {
     "stg_flight_cleansed": [unique("flight_date"), not_null("flight_date"),
                             not_null("total_flights")],

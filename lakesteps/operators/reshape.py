@@ -50,7 +50,7 @@ def outer_join_all(dfs: Sequence[DataFrame], on: str, anchor: str | None = None)
     A chain of joins would shuffle once per frame, because the merged key of one join is not the
     partitioning of the next. Here the frames are stacked, and one aggregate folds the rows of a
     key. ``anchor`` is a column all frames share; it is taken from the first frame only, as is
-    any other repeated column.
+    any other repeated column. A frame that repeats a key is an error, as its rows would mix.
     """
     owner: dict[str, int] = {}
     for i, df in enumerate(dfs):
@@ -58,10 +58,16 @@ def outer_join_all(dfs: Sequence[DataFrame], on: str, anchor: str | None = None)
             if c != on and not (c == anchor and i > 0):
                 owner.setdefault(c, i)
     stacked = [
-        df.select(on, *[c for c in df.columns if owner.get(c) == i]) for i, df in enumerate(dfs)
+        df.select(on, *[c for c in df.columns if owner.get(c) == i], F.lit(i).alias("_frame"))
+        for i, df in enumerate(dfs)
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
-    return rows.groupBy(on).agg(*[F.max(c).alias(c) for c in owner])
+    counts = [F.count_if(F.col("_frame") == i).alias(f"_n{i}") for i in range(len(dfs))]
+    folded = rows.groupBy(on).agg(*[F.max(c).alias(c) for c in owner], *counts)
+    most = reduce(F.greatest, (F.col(f"_n{i}") for i in range(1, len(dfs))), F.col("_n0"))
+    key = F.when(most <= 1, F.col(on)).otherwise(F.raise_error(F.concat(
+        F.lit(f"repeated {on}: "), F.coalesce(F.col(on).cast("string"), F.lit("NULL")))))
+    return folded.select(key.alias(on), *owner)
 
 
 def explode_lateral(df: DataFrame, array: Column, name: str) -> DataFrame:

@@ -56,14 +56,21 @@ def weather_days(responses: DataFrame, col: str, source: str) -> DataFrame:
     return rows.withColumn("date", F.to_date("date"))
 
 
-def weather_bronze(archive: DataFrame, live: DataFrame, run_day: Date, col: str = "body") -> DataFrame:
-    """Settled archive days plus the last live days, the live reading winning."""
+def weather_bronze(
+    archive: DataFrame, live: DataFrame, run_day: Date | Column, col: str = "body",
+    loaded: DataFrame | None = None,
+) -> DataFrame:
+    """Settled archive days plus the last live days, the live reading winning.
+
+    With the ``loaded`` table given, only days it lacks or holds with other values are returned.
+    """
     measures = ["temp_mean", "temp_max", "temp_min", "rainfall_mm", "wind_speed_max"]
-    return backfill(
+    rows = backfill(
         weather_days(archive, col, "archive_api"),
         weather_days(live, col, "live_forecast_api"),
         "date", run_day, ordinal=measures,
     )
+    return rows if loaded is None else new_or_changed(loaded, rows, ["date"])
 
 
 NEWS_REQUIRED = schemas.NEWS_FEED.names

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakesteps.operators.quality import SILVER_RULES, check
+from lakesteps.operators.quality import SILVER_RULES, check, require_checks
 from lakesteps.operators.rollup import union_all
 from lakesteps.plans import gold, silver
 from lakesteps.session import materialize
@@ -38,17 +38,22 @@ def check_silver(views: Mapping[str, DataFrame]) -> DataFrame:
 
 def build_gold(
     catalog: Catalog, views: Mapping[str, DataFrame], events: DataFrame,
-    repair_event_dates: bool = False,
+    repair_event_dates: bool = False, checked: bool = True,
 ) -> dict[str, DataFrame]:
     """Build every gold table in the order of its inputs.
 
-    Each table is written once and read back, so the monthly fact is computed once for its three
+    A failed column test of the silver views stops the build before the first table, unless
+    ``checked`` is off. Each table is written once and read back, so the monthly fact is computed once for its three
     readers. The silver views that several tables read are computed once as well.
     """
     news, trend, weather, flight = (
         materialize(views[f"stg_{name}_cleansed"], f"silver-{name}")
         for name in ("news", "trend", "weather", "flight")
     )
+    if checked:
+        written = {"stg_news_cleansed": news, "stg_trend_cleansed": trend,
+                   "stg_weather_cleansed": weather, "stg_flight_cleansed": flight}
+        require_checks(check_silver({**views, **written}))
     built: dict[str, DataFrame] = {}
 
     def table(name: str, df: DataFrame) -> DataFrame:
@@ -65,8 +70,7 @@ def build_gold(
     ]))
     facts = table("fact_news", gold.fact_news(news, articles, calendar, sentiments))
     monthly = table("fact_tourism", gold.fact_monthly(
-        views["stg_tourism_stats_cleansed"], facts, articles, sentiments, trend, weather, flight,
-        event,
+        views["stg_tourism_stats_cleansed"], facts, sentiments, trend, weather, flight, event,
     ))
     table("mart_tourism_data_mart", gold.monthly_mart(monthly))
     table("mart_tourism_health_index", gold.health_index_a(monthly))

@@ -100,12 +100,15 @@ def _month_of(date: str) -> list[Column]:
     return [F.year(d).cast("bigint").alias("year"), F.month(d).cast("bigint").alias("month")]
 
 
-def news_by_month(facts: DataFrame, news: DataFrame, sentiments: DataFrame) -> DataFrame:
-    """Article counts per month and class. Classes go by label; other labels count in the total."""
-    labelled = lookup_dim(facts, sentiments, ["sentiment_key"], "sentiment_label")
-    dated = labelled.join(news.select("article_key", "report_date"), "article_key")
+def news_by_month(facts: DataFrame, sentiments: DataFrame) -> DataFrame:
+    """Article counts per month and class. Classes go by label; other labels count in the total.
+
+    The fact's ``date_key`` is the article's own date, so the articles are not read again; facts
+    without an article do not count.
+    """
+    dated = lookup_dim(facts.where("article_key is not null"), sentiments, ["sentiment_key"], "sentiment_label")
     label = F.col("sentiment_label")
-    return dated.groupBy(*_month_of("report_date")).agg(
+    return dated.groupBy(*_month_of("date_key")).agg(
         F.count(F.lit(1)).alias("news_count"),
         L.count_where(label == POSITIVE[2]).alias("positive_news"),
         L.count_where(label == NEUTRAL[2]).alias("neutral_news"),
@@ -122,7 +125,6 @@ def event_days_by_month(events: DataFrame) -> DataFrame:
 def fact_monthly(
     statistics: DataFrame,
     facts: DataFrame,
-    news: DataFrame,
     sentiments: DataFrame,
     trend: DataFrame,
     weather: DataFrame,
@@ -148,7 +150,7 @@ def fact_monthly(
         c: ("sum", c) for c in ("domestic_flights", "international_flights", "total_flights")})
     joined = left_join_all(
         spine,
-        [news_by_month(facts, news, sentiments), searches, climate, flights,
+        [news_by_month(facts, sentiments), searches, climate, flights,
          event_days_by_month(events)],
         MONTH,
     )

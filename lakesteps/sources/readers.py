@@ -18,8 +18,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _csv(spark: SparkSession, sep: str):
+    """Quoted values may hold line breaks, so a file is one task: many files, not large ones, give
+    parallel reads. Each file's own header must name the columns in the order they are bound in;
+    a file that differs is an error, as its values would land in the wrong columns."""
     return (
-        spark.read.option("header", True).option("sep", sep)
+        spark.read.option("header", True).option("sep", sep).option("multiLine", True)
+        .option("enforceSchema", False)
         .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
     )
 
@@ -27,7 +31,7 @@ def _csv(spark: SparkSession, sep: str):
 def read_delimited(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = ","
 ) -> DataFrame:
-    """Delimited text whose columns are those of ``schema``, in order. A leading BOM is skipped."""
+    """Delimited text whose header names the columns of ``schema``, in order. A BOM is skipped."""
     return _csv(spark, sep).schema(schema).csv(path)
 
 
@@ -75,8 +79,8 @@ def union_feeds(
     """Text columns of all usable feeds, and the feeds rejected with the columns they lack.
 
     A missing or empty file is skipped. The rows carry their input order for later keep-first
-    steps: ``_feed`` is the place of the file in ``paths``, ``_line`` rises within the file. Both
-    are set by the scan itself, before any shuffle.
+    steps: ``_feed`` is the place in ``paths``, ``_line`` the file, by name where that is a folder,
+    and a number that rises within it. Both are set by the scan itself, before any shuffle.
     """
     frames, rejected = [], []
     for i, path in enumerate(paths):
@@ -89,8 +93,9 @@ def union_feeds(
         if missing:
             rejected.append((path, missing))
         else:
-            frames.append(feed.withColumns({
-                "_feed": F.lit(i), "_line": F.monotonically_increasing_id()}))
+            line = F.struct(F.col("_metadata.file_path").alias("file"),
+                            F.monotonically_increasing_id().alias("row"))
+            frames.append(feed.withColumns({"_feed": F.lit(i), "_line": line}))
     return (union_all(frames, allow_missing=True) if frames else None), rejected
 
 

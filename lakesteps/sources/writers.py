@@ -18,7 +18,8 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Put ``df`` in the place of a Parquet table, which ``df`` itself may read.
 
-    The new table is written beside the old one and moved in only when it is complete.
+    The new table is written beside the old one and moved in only when it is complete. Between
+    the two moves the path does not exist for a moment; a move that fails puts the old table back.
     """
     spark = df.sparkSession
     incoming = f"{path.rstrip('/')}.incoming-{uuid.uuid4().hex}"
@@ -28,11 +29,21 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(target):
         retired = path_of(f"{path.rstrip('/')}.retired-{uuid.uuid4().hex}")
-        fs.rename(target, retired)
-        fs.rename(source, target)
+        _move(fs, target, retired)
+        try:
+            _move(fs, source, target)
+        except Exception:
+            _move(fs, retired, target)
+            raise
         fs.delete(retired, True)
     else:
-        fs.rename(source, target)
+        _move(fs, source, target)
+
+
+def _move(fs, source, target) -> None:
+    """Rename; some stores say no by returning false."""
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {source.toString()} to {target.toString()}")
 
 
 def write_sorted(df: DataFrame, path: str, *cols: str) -> None:
@@ -50,11 +61,14 @@ def save_mark(mark: DataFrame, path: str) -> None:
     """Store a one-row mark. Call it only after the data it stands for is saved.
 
     Marks are added, not overwritten, so a run that dies here still leaves the former one. A
-    mark without rows (nothing new) leaves things as they are.
+    mark without rows (nothing new) leaves things as they are; several rows are an error.
     """
-    stamped = mark.limit(1).withColumn("_saved_at", F.current_timestamp())
-    if not stamped.isEmpty():
-        stamped.coalesce(1).write.mode("append").json(path)
+    found = mark.take(2)
+    if len(found) > 1:
+        raise ValueError("a mark has one row")
+    if found:
+        stored = mark.sparkSession.createDataFrame(found, mark.schema)
+        stored.withColumn("_saved_at", F.current_timestamp()).coalesce(1).write.mode("append").json(path)
 
 
 def load_mark(spark: SparkSession, path: str, schema: str) -> Row | None:

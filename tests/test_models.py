@@ -117,7 +117,18 @@ def test_event_dimension(bronze):
 def built(spark, bronze, tmp_path_factory):
     catalog = Catalog(spark, str(tmp_path_factory.mktemp("gold")))
     views = build_silver(catalog, bronze)
-    return catalog, views, build_gold(catalog, views, bronze["event"])
+    # the trap rows fail a test on purpose, which would stop the build
+    return catalog, views, build_gold(catalog, views, bronze["event"], checked=False)
+
+
+def test_failed_column_tests_stop_the_build(spark, bronze, tmp_path):
+    catalog = Catalog(spark, str(tmp_path))
+    views = build_silver(catalog, bronze)
+    with pytest.raises(ValueError, match="column=stat_id, failures=2"):
+        build_gold(catalog, views, bronze["event"])
+    assert not list(tmp_path.iterdir())
+    views["stg_tourism_stats_cleansed"] = views["stg_tourism_stats_cleansed"].where("stat_id is not null")
+    assert "scenario_simulation" in build_gold(catalog, views, bronze["event"])
 
 
 def test_build_registers_every_relation(built):

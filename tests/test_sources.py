@@ -94,6 +94,35 @@ def test_marks(spark, tmp_path):
     assert tuple(load_mark(spark, path, ddl)) == ("2023-06-01", 9)
 
 
+def test_feeds_keep_line_breaks_and_file_order(spark, tmp_path):
+    folder = tmp_path / "f"
+    folder.mkdir()
+    write(folder / "a.csv", 'k,v\n1,"first\nline"\n')
+    write(folder / "b.csv", "k,v\n" + "".join(f"{i},later{'x' * 50}\n" for i in range(1, 400)))
+    df, _ = union_feeds(spark, [str(folder)], ["k"])
+    from lakesteps.operators import keep_first
+    kept = keep_first(df, ["k"], ["_feed", "_line"]).where("k = 1").select("v").collect()
+    assert [r[0] for r in kept] == ["first\nline"]
+    back = spark.createDataFrame([(1, 'a\n"b",\r\nc')], "n bigint, s string")
+    export_csv(back, str(tmp_path / "e"))
+    assert [tuple(r) for r in read_typed_csv(spark, str(tmp_path / "e"), back.schema).collect()] == [(1, 'a\n"b",\r\nc')]
+
+
+def test_a_file_with_its_columns_in_another_order_is_an_error(spark, tmp_path):
+    folder = tmp_path / "g"
+    folder.mkdir()
+    write(folder / "a.csv", "a,b\n1,2\n")
+    write(folder / "b.csv", "b,a\n2,1\n")
+    schema = T.StructType.fromDDL("a string, b string")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_typed_csv(spark, str(folder), schema).collect()
+
+
+def test_a_mark_has_one_row(spark, tmp_path):
+    with pytest.raises(ValueError, match="one row"):
+        save_mark(spark.range(2), str(tmp_path / "m"))
+
+
 def test_materialize_uses_the_named_folder(spark):
     before = shared_dir(spark)
     df = materialize(spark.range(10), "probe")

@@ -283,18 +283,20 @@ cte("index_b", "SELECT report_date, " + ", ".join(f"{rnd(c, 2)} AS {c}" for c in
     + f", {rnd(SUM_B, 2)} AS health_index FROM scores_b", "scores_b")
 
 
-def index_b(fact):
-    fractions = {"f_demand": "avg_value", "f_mobility": "quantity", "f_warm": "revenue",
-                 "f_dry": "avg_discount", "f_calm": "order_count", "f_event": "event_days"}
-    rows = minmax_scale(fact, fractions, scale=1.0, null_to=0.0, invert=["f_dry", "f_calm"])
+FRACTIONS_B = {"f_demand": "avg_value", "f_mobility": "quantity", "f_warm": "revenue",
+               "f_dry": "avg_discount", "f_calm": "order_count", "f_event": "event_days"}
+
+
+def index_b(fact, *keep):
+    rows = minmax_scale(fact, FRACTIONS_B, scale=1.0, null_to=0.0, invert=["f_dry", "f_calm"])
     scores = rows.select(
-        "report_date", (F.col("f_demand") * 100).alias("demand_score"),
+        "report_date", *keep, (F.col("f_demand") * 100).alias("demand_score"),
         (F.col("f_mobility") * 100).alias("mobility_score"),
         L.mean_of(F.col("f_warm"), F.col("f_dry"), F.col("f_calm"), scale=100).alias("environment_score"),
         (F.col("f_event") * 100).alias("event_score"),
         L.share(F.col("building_count"), F.col("order_count")).alias("sentiment_score"),
     ).withColumn("health_index", L.weighted_index(WEIGHTS_B))
-    return scores.select("report_date", *[F.round(c, 2).alias(c) for c in SCORES_B], "health_index")
+    return scores.select("report_date", *keep, *[F.round(c, 2).alias(c) for c in SCORES_B], "health_index")
 
 
 @query("minmax_null_zero", with_ctes("SELECT * FROM index_b", "index_b"))
@@ -308,9 +310,9 @@ SELECT a.report_date, a.health_index AS index_a, {band_sql("a.health_index", LAB
 FROM index_a a JOIN index_b b USING (report_date)""", "index_a", "index_b"))
 def weighted_index_band(t):
     fact = written_month(t)
-    a = minmax_scale(fact, MEASURES).select("report_date", L.weighted_index(WEIGHTS_A).alias("index_a"))
-    b = index_b(fact).select("report_date", F.col("health_index").alias("index_b"))
-    return a.join(b, "report_date").select(
+    a = minmax_scale(fact, {f"a_{k}": v for k, v in MEASURES.items()})
+    a = a.withColumn("index_a", L.weighted_index({f"a_{k}": w for k, w in WEIGHTS_A.items()}))
+    return index_b(a, "index_a").withColumnRenamed("health_index", "index_b").select(
         "report_date", "index_a", L.band(F.col("index_a"), bands(LABELS_A), LABELS_A[3]).alias("status_a"),
         "index_b", L.band(F.col("index_b"), bands(LABELS_B), LABELS_B[3]).alias("status_b"))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import functions as F
 
 from lakesteps import functions as L
@@ -70,15 +68,15 @@ def priority_union_days(t):
 @query("backfill_days", """
 SELECT day, max_by(event_id, (p, ts, event_id)) AS event_id, max_by(origin, (p, ts, event_id)) AS origin
 FROM (SELECT CAST(ts AS DATE) AS day, ts, event_id, 'archive' AS origin, 0 AS p FROM events
-      WHERE CAST(ts AS DATE) <= DATE '2024-01-24'
+      WHERE CAST(ts AS DATE) <= (SELECT max(CAST(ts AS DATE)) - 3 FROM events)
       UNION ALL SELECT CAST(ts AS DATE), ts, event_id, 'live', 1 FROM events
-      WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-25' AND DATE '2024-01-27')
+      WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) - 2 FROM events))
 GROUP BY day""")
 def backfill_days(t):
     rows = _feed(t).select("day", "ts", "event_id")
     return backfill(
         rows.withColumn("origin", F.lit("archive")), rows.withColumn("origin", F.lit("live")),
-        "day", date(2024, 1, 27), ordinal=["ts", "event_id"],
+        "day", high_water(rows, "day"), ordinal=["ts", "event_id"],
     ).drop("ts")
 
 
@@ -124,14 +122,17 @@ def overwrite_window_days(t):
 
 
 @query("new_or_changed", """
-SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders
-WHERE o_orderdate >= '1999-01-01' OR o_orderstatus = 'P'""")
+SELECT o_orderkey, o_totalprice, o_orderpriority, CAST(o_orderdate AS TIMESTAMP) AS seen FROM orders
+WHERE o_orderdate >= '1999-01-01' OR o_orderstatus = 'P' OR o_orderkey % 7 = 0""")
 def new_or_changed_orders(t):
-    cols = ["o_orderkey", "o_totalprice", "o_orderpriority"]
-    orders = t("orders")
-    # the stored copy ends in 1998, and its rows in state P had another price
+    cols = ["o_orderkey", "o_totalprice", "o_orderpriority", "seen"]
+    orders = t("orders").withColumn("seen", F.col("o_orderdate").cast("timestamp_ntz"))
+    # the stored copy ends in 1998, its rows in state P had another price, and every seventh
+    # was seen a microsecond earlier
     price = F.when(F.col("o_orderstatus") == "P", -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
     old = orders.where("o_orderdate < timestamp_ntz'1999-01-01'").withColumn("o_totalprice", price)
+    old = old.withColumn("seen", F.when(
+        F.col("o_orderkey") % 7 == 0, F.col("seen") - F.expr("interval 0.000001 second")).otherwise(F.col("seen")))
     return new_or_changed(old.select(*cols), orders.select(*cols), ["o_orderkey"])
 
 

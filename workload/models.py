@@ -6,13 +6,12 @@ that all feeds share the months from 2020 on.
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import functions as F
 
 from lakesteps.operators import keep_first, word_list_scorer
-from lakesteps.operators.rollup import high_water_value
+from lakesteps.operators.rollup import high_water, high_water_value
 from lakesteps.operators.merge import reprocess_window
+from lakesteps.operators.quality import SILVER_RULES
 from lakesteps.plans import bronze, gold, silver
 from lakesteps.plans.articles import refresh_articles
 from lakesteps.plans.build import check_silver
@@ -272,25 +271,22 @@ def _test_sql(view: str, relation: str, rule: str, col: str) -> str:
     return f"{head}(SELECT 1 FROM {view} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)"
 
 
-@query("model_silver_checks", with_ctes("\nUNION ALL\n".join([
-    _test_sql("stg_statistics", "stg_tourism_stats_cleansed", "unique", "stat_id"),
-    _test_sql("stg_statistics", "stg_tourism_stats_cleansed", "not_null", "stat_id"),
-    _test_sql("stg_statistics", "stg_tourism_stats_cleansed", "not_null", "accommodation_guests"),
-    _test_sql("stg_news", "stg_news_cleansed", "unique", "url"),
-    _test_sql("stg_news", "stg_news_cleansed", "not_null", "url"),
-    _test_sql("stg_news", "stg_news_cleansed", "not_null", "report_date"),
-    _test_sql("stg_news", "stg_news_cleansed", "not_null", "title"),
-    _test_sql("stg_events", "stg_events_cleansed", "unique", "event_id"),
-    _test_sql("stg_events", "stg_events_cleansed", "not_null", "event_id"),
-    _test_sql("stg_events", "stg_events_cleansed", "not_null", "event_name"),
-    _test_sql("stg_events", "stg_events_cleansed", "not_null", "start_date"),
-]), "stg_statistics", "stg_news", "stg_events"))
+SILVER_FEEDS = {
+    "stg_flight_cleansed": (silver.silver_flight, flight_feed, "stg_flight"),
+    "stg_weather_cleansed": (silver.silver_weather, weather_feed, "stg_weather"),
+    "stg_tourism_stats_cleansed": (silver.silver_statistics, statistics_feed, "stg_statistics"),
+    "stg_news_cleansed": (silver.silver_news, news_feed, "stg_news"),
+    "stg_trend_cleansed": (silver.silver_trend, trend_feed, "stg_trend"),
+    "stg_events_cleansed": (silver.silver_events, event_feed, "stg_events"),
+}
+
+
+@query("model_silver_checks", with_ctes("\nUNION ALL\n".join(
+    _test_sql(SILVER_FEEDS[relation][2], relation, rule.name, rule.column)
+    for relation, rules in SILVER_RULES.items() for rule in rules),
+    *[view for _, _, view in SILVER_FEEDS.values()]))
 def model_silver_checks(t):
-    return check_silver({
-        "stg_tourism_stats_cleansed": silver.silver_statistics(statistics_feed(t)),
-        "stg_news_cleansed": silver.silver_news(news_feed(t)),
-        "stg_events_cleansed": silver.silver_events(event_feed(t)),
-    })
+    return check_silver({name: make(feed(t)) for name, (make, feed, _) in SILVER_FEEDS.items()})
 
 
 # ---- gold
@@ -322,12 +318,12 @@ LEFT JOIN (SELECT date_key FROM dim_time) ON report_date = date_key LEFT JOIN di
 
 
 def silver_views(t):
-    """The silver relations the gold models read, the news view written because three read it."""
+    """The silver relations the gold models read, each written because several read it."""
     return {
         "news": materialize(silver.silver_news(news_feed(t)), "silver-news"),
-        "trend": silver.silver_trend(trend_feed(t)),
-        "weather": silver.silver_weather(weather_feed(t)),
-        "flight": silver.silver_flight(flight_feed(t)),
+        "trend": materialize(silver.silver_trend(trend_feed(t)), "silver-trend"),
+        "weather": materialize(silver.silver_weather(weather_feed(t)), "silver-weather"),
+        "flight": materialize(silver.silver_flight(flight_feed(t)), "silver-flight"),
     }
 
 
@@ -418,7 +414,7 @@ def tourism_fact(t):
     sentiments = gold.dim_sentiment(news)
     fact = gold.fact_monthly(
         silver.silver_statistics(statistics_feed(t)),
-        gold.fact_news(news, articles, calendar(views), sentiments), articles, sentiments,
+        gold.fact_news(news, articles, calendar(views), sentiments), sentiments,
         views["trend"], views["weather"], views["flight"],
         gold.dim_event(events, gold.dim_location(events)),
     )
@@ -619,29 +615,36 @@ def model_flight_bronze(t):
     return bronze.flight_bronze(arrivals, "heading", "origin", F.col("y"))
 
 
-RUN_DAY = date(2024, 1, 27)
-
-
+# The stored table ends ten days before the run; its odd days have another reading.
 @query("model_weather_bronze", """
-SELECT date, temp_mean, temp_max, temp_min, rainfall_mm, wind_speed_max, 'archive_api' AS source
-FROM (SELECT CAST(ts AS DATE) AS date, CAST(count(*) AS DOUBLE) AS temp_mean, max(value) AS temp_max,
+WITH d AS (SELECT CAST(ts AS DATE) AS date, CAST(count(*) AS DOUBLE) AS temp_mean, max(value) AS temp_max,
     min(value) AS temp_min, CAST(count(*) FILTER (event_type = 'error') AS DOUBLE) AS rainfall_mm,
-    CAST(max(user_id) AS DOUBLE) AS wind_speed_max FROM events GROUP BY 1)
-WHERE date <= DATE '2024-01-24'
+    CAST(max(user_id) AS DOUBLE) AS wind_speed_max FROM events GROUP BY 1),
+run AS (SELECT max(date) AS today FROM d)
+SELECT d.*, 'archive_api' AS source FROM d, run
+WHERE date <= today - 3 AND (date > today - 10 OR day(date) % 2 = 1)
 UNION ALL
-SELECT CAST(ts AS DATE), count(*) + 1, max(value), min(value), count(*) FILTER (event_type = 'error'),
-  max(user_id), 'live_forecast_api' FROM events
-WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-25' AND DATE '2024-01-27' GROUP BY 1""")
+SELECT date, temp_mean + 1, temp_max, temp_min, rainfall_mm, wind_speed_max, 'live_forecast_api' FROM d, run
+WHERE date > today - 3""")
 def model_weather_bronze(t):
     def responses(shift):
-        """One response per day of readings, its arrays one element long."""
+        """One response per week of readings, its arrays as long as the week has days."""
         days = t("events").groupBy(F.to_date("ts").alias("d")).agg(
             (F.count(F.lit(1)) + shift).cast("double").alias("n"), F.max("value").alias("hi"),
             F.min("value").alias("lo"), F.count_if(F.col("event_type") == "error").cast("double").alias("e"),
             F.max("user_id").cast("double").alias("u"))
-        one = [F.array(c).alias(n) for c, n in (
-            (F.col("d").cast("string"), "time"), ("n", "temperature_2m_mean"), ("hi", "temperature_2m_max"),
-            ("lo", "temperature_2m_min"), ("e", "precipitation_sum"), ("u", "wind_speed_10m_max"))]
-        return days.select(F.to_json(F.struct(F.struct(*one).alias("daily"))).alias("body"))
-
-    return bronze.weather_bronze(responses(0), responses(1), RUN_DAY)
+        names = {"d": "time", "n": "temperature_2m_mean", "hi": "temperature_2m_max",
+                 "lo": "temperature_2m_min", "e": "precipitation_sum", "u": "wind_speed_10m_max"}
+        weeks = days.groupBy(F.date_trunc("week", "d")).agg(
+            F.sort_array(F.collect_list(F.struct(*names))).alias("days"))
+        daily = F.struct(*[
+            F.col(f"days.{c}").cast("array<string>" if c == "d" else "array<double>").alias(n)
+            for c, n in names.items()])
+        return weeks.select(F.to_json(F.struct(daily.alias("daily"))).alias("body"))
+
+    today = high_water(t("events").select(F.to_date("ts").alias("d")), "d")
+    archive = responses(0)
+    odd = (F.dayofmonth("date") % 2).cast("double")
+    stored = bronze.weather_days(archive, "body", "archive_api").where(
+        F.col("date") <= F.date_sub(today, 10)).withColumn("temp_mean", F.col("temp_mean") + odd)
+    return bronze.weather_bronze(archive, responses(1), today, loaded=stored)
