@@ -15,6 +15,7 @@ from lakesteps.operators.records import (
     LISTING_EPOCH, LISTING_ISO, explode_json_records, extract_records,
 )
 from lakesteps.operators.select import keep_containing, require_text, take_until_marker
+from lakesteps.session import materialize
 
 RECORD = ("article_id", "publish_date", "title", "summary", "url")
 
@@ -75,7 +76,8 @@ def refresh_articles(
     The mark is the first listed new record with the size of the table; it has no row when there
     is nothing new, so saving it then changes nothing.
     """
-    fresh = fresh_articles(found, order, last_url)
+    # written once: the merge, the mark and the test for new records all read it
+    fresh = materialize(fresh_articles(found, order, last_url), "fresh-articles")
     articles = merge_new_first(
         old.select(*RECORD), fresh.select(*RECORD), "article_id", "publish_date", drop_blank_title)
     first = F.min_by(F.struct("article_id", "url", "publish_date"), F.struct(*order)).alias("first")

@@ -56,8 +56,8 @@ def build_gold(
         require_checks(check_silver({**views, **written}))
     built: dict[str, DataFrame] = {}
 
-    def table(name: str, df: DataFrame) -> DataFrame:
-        built[name] = catalog.table(name, df)
+    def table(name: str, df: DataFrame, *order: str) -> DataFrame:
+        built[name] = catalog.table(name, df, order)
         return built[name]
 
     locations = table("dim_location", gold.dim_location(events))
@@ -67,13 +67,13 @@ def build_gold(
     calendar = table("dim_time", gold.calendar_dim([
         news.select("report_date"), trend.select("report_date"),
         weather.select("weather_date"), flight.select("flight_date"),
-    ]))
+    ]), "date_key")
     facts = table("fact_news", gold.fact_news(news, articles, calendar, sentiments))
     monthly = table("fact_tourism", gold.fact_monthly(
         views["stg_tourism_stats_cleansed"], facts, sentiments, trend, weather, flight, event,
-    ))
-    table("mart_tourism_data_mart", gold.monthly_mart(monthly))
+    ), "report_date")
+    table("mart_tourism_data_mart", gold.monthly_mart(monthly), "year", "month")
     table("mart_tourism_health_index", gold.health_index_a(monthly))
-    index_b = table("tourism_health_index", gold.health_index_b(monthly))
+    index_b = table("tourism_health_index", gold.health_index_b(monthly), "report_date")
     table("scenario_simulation", gold.scenario_table(index_b))
     return built

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lakesteps.sources.writers import replace
@@ -22,8 +24,13 @@ class Catalog:
     def source(self, name: str) -> DataFrame:
         return self.spark.table(name)
 
-    def table(self, name: str, df: DataFrame) -> DataFrame:
-        """Build the whole table anew, even from itself, and return it as read back."""
+    def table(self, name: str, df: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+        """Build the whole table anew, even from itself, and return it as read back.
+
+        With ``order`` the files hold ranges of those columns, so that filters on them skip files.
+        """
         path = f"{self.warehouse}/{name}"
+        if order:
+            df = df.repartitionByRange(*order).sortWithinPartitions(*order)
         replace(df, path)
         return self.register(name, self.spark.read.schema(df.schema).parquet(path))
