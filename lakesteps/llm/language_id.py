@@ -18,6 +18,7 @@ WIDTHS = (2, 3, 4)
 FILTERS, EMBEDDING = 16, 8
 #: Training takes at most so many documents per language, and so many windows of each.
 PER_LANGUAGE, WINDOWS = 600, 2
+SALTS = 64
 EPOCHS, BATCH, STEP, SEED = 8, 128, 0.01, 11
 UNKNOWN = "und"
 #: Windows worked on at once.
@@ -133,8 +134,11 @@ def training_windows(docs: DataFrame, id: str = "doc_id", text: str = "text", la
                        for k in range(WINDOWS)))
     rows = docs.where(~held_out(key) & label.isNotNull() & body.rlike(r"\p{L}")).select(
         label.cast("string").alias("lang"), F.xxhash64(key, F.lit(SEED)).alias("place"), pieces.alias("pieces"))
-    ranked = rows.withColumn("n", F.row_number().over(
-        Window.partitionBy("lang").orderBy("place", "pieces")))
+    # First the best of each of SALTS parts of a language, so that no task gets all its rows.
+    order = ("place", "pieces")
+    parts = Window.partitionBy("lang", F.pmod("place", F.lit(SALTS))).orderBy(*order)
+    rows = rows.withColumn("n", F.row_number().over(parts)).where(F.col("n") <= PER_LANGUAGE)
+    ranked = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     return ranked.where(F.col("n") <= PER_LANGUAGE).select("lang", "n", F.explode("pieces").alias("piece"))
 
 
