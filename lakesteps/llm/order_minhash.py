@@ -7,9 +7,10 @@ share a sketch are candidates; a pair is a link when at least ``similarity`` of
 words align, in order, with words of the shorter.
 
 Work per sketch value is linear: all texts with it are compared with the smallest one first. Only
-where that leaves texts in different classes are the pairs across classes compared; where those
-would be very many, as with a passage that many texts hold, the texts are sketched again with more
-minima, which unlike texts with a passage in common do not share.
+where that leaves texts in different classes are the pairs across classes compared. Where those
+would be very many, as with a passage that many texts hold, an index of rare words leaves out pairs
+that cannot align, and only those: texts of which 80 % align share one of the 20 % rarest words of
+each, and differ in few bits of a signature of their words.
 """
 
 from __future__ import annotations
@@ -32,10 +33,10 @@ SHINGLE = 5
 #: 40 with probability 1 - 5e-10, 70 % alike 1 - 2e-5, 60 % alike 0.996.
 MINIMA, SKETCHES = 4, 40
 SIMILARITY = 0.8
-#: A sketch value that would take more comparisons across classes is left to the finer sketches:
-#: texts 80 % alike share one of these with probability 1 - 3e-4, 70 % alike 0.81.
+#: A sketch value that would take more comparisons across classes is compared by rare words.
 CROWD = 1000
-FINER = (12, 120)
+#: Buckets in which words are counted for their rarity, and 64-bit parts of a signature.
+BUCKETS, PARTS = 1 << 18, 16
 WORD = re.compile(r"\w+")
 
 
@@ -70,13 +71,41 @@ def shingles(words: list[str]) -> np.ndarray:
     for k in range(min(SHINGLE, len(w))):
         out = out * np.uint64(0x9E3779B97F4A7C15) + w[k:k + n]
         out ^= out >> np.uint64(29)
-    order = np.argsort(out, kind="stable")
-    ranked = out[order]
+    return _numbered(out)
+
+
+def _numbered(hashes: np.ndarray) -> np.ndarray:
+    """The hashes, in place, with equal ones told apart by occurrence number."""
+    n = len(hashes)
+    order = np.argsort(hashes, kind="stable")
+    ranked = hashes[order]
     first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
     if len(first) < n:
         number = np.arange(n) - np.repeat(first, np.diff(np.r_[first, n]))
-        out[order] += number.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return out
+        hashes[order] += number.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return hashes
+
+
+def _buckets(words: list[str]) -> np.ndarray:
+    w = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return (w % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def rare_words(words: list[str], counts: np.ndarray, least: float) -> tuple[list[int], list[int]]:
+    """The words of which two texts share one if they align, and a signature, as 64-bit integers.
+
+    Words are told apart by occurrence number and put in one order for all texts, rare ones (by
+    the counts of their buckets) first. Of n words at least ``least`` align with equal words, so
+    the first of those is among the first (1 - least) * n + 1 in both texts. The signature
+    holds the parity of the words in each of its bits: texts differ in no more bits than words.
+    """
+    n = len(words)
+    w = _numbered(np.fromiter(map(_HASHES.__getitem__, words), np.uint64, n))
+    first = np.lexsort((w, counts[_buckets(words)]))[:n - int(np.ceil(least * n - 1e-9)) + 1]
+    mixed = (w ^ (w >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    bits = np.bincount((mixed >> np.uint64(32)).astype(np.int64) % (64 * PARTS), minlength=64 * PARTS) & 1
+    parts = np.packbits(bits.astype(np.uint8)).view(np.int64)
+    return w[first].view(np.int64).tolist(), parts.tolist()
 
 
 @lru_cache(maxsize=8)
@@ -193,13 +222,31 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _word_counts(texts: DataFrame) -> np.ndarray:
+    """For each bucket of words, how many texts hold a word of it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                counts[np.unique(_buckets(words_of(text)))] += 1
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
+
+    small_batches(texts)
+    sums = texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    table, counts = sums.toArrow(), np.zeros(BUCKETS, np.int32)
+    counts[table.column("bucket").to_numpy()] = np.minimum(table.column("n").to_numpy(), 2**31 - 1)
+    return counts
+
+
 def _open_spots(spots: DataFrame, comps: DataFrame) -> DataFrame:
-    """``spots`` (node, n, key) of sketch values in more than one class, with class and weight.
+    """``spots`` (node, n, key, ...) of values in more than one class, with class and weight.
 
     lone: not of the class most frequent there; cross: the number of comparisons it would take.
     """
+    rest = [c for c in spots.columns if c not in ("key", "node")]
     placed = spots.join(comps, "node", "left").select(
-        "key", "node", "n", F.coalesce("comp", "node").alias("comp"))
+        "key", "node", *rest, F.coalesce("comp", "node").alias("comp"))
     sizes = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
     keys = sizes.groupBy("key").agg(
         F.sum("size").alias("all"), F.max("size").alias("most"),
@@ -209,16 +256,21 @@ def _open_spots(spots: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def _across(spots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) with one sketch value and different classes, each pair of a value once.
+    """Pairs (a, b) with one value and different classes, each pair of a value once.
 
-    Texts whose numbers of words differ too much to align are no pair.
+    Texts whose numbers of words, or signatures if there are any, differ too much to align are no
+    pair.
     """
     some = spots.where("lone").select(
-        "key", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("comp").alias("comp_x"))
-    pairs = some.join(spots, "key").where(
-        F.expr("comp_x < comp or (comp_x != comp and not lone)")
-        & (F.least("n_x", "n") >= similarity * F.greatest("n_x", "n")))
-    return pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
+        "key", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("comp").alias("comp_x"),
+        *(F.col(c).alias(f"{c}_x") for c in spots.columns if c == "bits"))
+    fits = (F.expr("comp_x < comp or (comp_x != comp and not lone)")
+            & (F.least("n_x", "n") >= similarity * F.greatest("n_x", "n") - 1e-9))
+    if "bits" in spots.columns:
+        apart = " + ".join(f"bit_count(bits[{k}] ^ bits_x[{k}])" for k in range(PARTS))
+        fits &= F.expr(f"{apart} <= n + n_x - 2 * ({similarity!r}D * greatest(n, n_x) - 1e-9D)")
+    return some.join(spots, "key").where(fits).select(
+        F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
 
 
 def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text",
@@ -254,12 +306,16 @@ def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text",
     comps = components(links)
     spread = _open_spots(members, comps)
     cheap = F.col("cross") <= crowd
-    nodes = spread.where(~cheap).select("node").distinct()
-    finer = per_text(bodies.join(nodes.hint("shuffle_hash"), "node"),
-                     lambda ts: [(sketch(t, *FINER),) for t in ts], "sketch array<long>")
-    finer = materialize(_open_spots(finer.select("node", "n", F.explode("sketch").alias("key")), comps),
-                        "sketch-finer")
-    across = _across(spread.where(cheap), similarity).union(_across(finer, similarity)).distinct()
+    values = materialize(spread.where(~cheap).groupBy("node").agg(F.collect_set("key").alias("keys")), "sketch-values")
+    crowded = materialize(bodies.join(values.select("node").hint("shuffle_hash"), "node"), "sketch-crowd")
+    counts = _word_counts(crowded)
+    rare = per_text(crowded, lambda ts: [rare_words(words_of(t), counts, similarity) for t in ts],
+                    "words array<long>, bits array<long>")
+    rare = _open_spots(rare.select("node", "n", "bits", F.explode("words").alias("key")), comps)
+    near = _across(rare, similarity).distinct()
+    near = near.join(values.toDF("a", "keys_a"), "a").join(values.toDF("b", "keys_b"), "b").where(
+        F.arrays_overlap("keys_a", "keys_b")).select("a", "b")
+    across = _across(spread.where(cheap), similarity).union(near).distinct()
     across = across.join(stars, ["a", "b"], "left_anti")
     more = _verify(across, bodies, similarity)
     classes = components(links.unionByName(more))

@@ -145,6 +145,42 @@ def test_near_duplicates_against_brute_force(spark):
         assert all(kept == (c == i) for i, (c, kept) in got.items())
 
 
+def test_rare_words_leave_out_no_pair_that_aligns():
+    rnd = random.Random(8)
+    counts = np.zeros(order_minhash.BUCKETS, np.int32)
+    aligned = 0
+    for _ in range(1500):
+        a = [f"w{rnd.randrange(30)}" for _ in range(rnd.randint(1, 60))]
+        b = [w if rnd.random() > 0.12 else f"w{rnd.randrange(30)}" for w in a if rnd.random() > 0.06]
+        counts[order_minhash._buckets(a)] = rnd.randrange(9)
+        if order_minhash.aligned_share(a, b):
+            aligned += 1
+            (x, s), (y, t) = (order_minhash.rare_words(w, counts, 0.8) for w in (a, b))
+            assert set(x) & set(y)
+            apart = sum(((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(s, t))
+            assert apart <= len(a) + len(b) - 1.6 * max(len(a), len(b)) + 1e-9
+    assert aligned > 300
+
+
+def test_crowds_find_what_direct_comparison_finds(spark):
+    """Short texts with edits, where many sketch values span classes: the limit changes nothing."""
+    rnd = random.Random(9)
+    word = lambda: f"w{rnd.randrange(500)}"
+    passage, texts = [word() for _ in range(12)], []
+    for _ in range(60):
+        base = passage + [word() for _ in range(8)]
+        texts.append(base)
+        for _ in range(2):
+            edited = list(texts[-1])
+            edited[rnd.randrange(13, 20)] = word()
+            edited[rnd.randrange(0, 3)] = word()
+            texts.append(edited)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    whole = rows(order_minhash.near_duplicates(df, crowd=10**12))
+    assert len({r[1] for r in whole}) < 120
+    assert rows(order_minhash.near_duplicates(df, crowd=0)) == whole
+
+
 def test_near_duplicates_edges(spark, edge):
     got = order_minhash.near_duplicates(edge)
     assert rows(got.where("doc_id is not null")) == [(1, 1, True), (2, 1, False), (3, 3, True), (5, 3, False), (5, 3, False), (7, 7, True), (8, 8, True)]
