@@ -24,28 +24,32 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_HINTS = ("passw", "secret", "token", "api_key", "apikey")
 KINDS = ("assign", "access", "hex", "literal")
 
-#: A lower-case text without any of these has no name that scores.
-NAME_HINTS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "pin")
 NAME_SCORES = {
     "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "passcode": 1.0, "secret": 1.0,
-    "token": 1.0, "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "auth": 0.6, "bearer": 0.8,
-    "authorization": 0.8, "pass": 0.8, "pin": 0.6,
+    "token": 1.0, "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "auth": 0.7, "bearer": 0.8,
+    "authorization": 0.8, "pass": 0.8, "pin": 0.7,
 }
 KEY_OWNERS = frozenset("api access private secret signing encryption master account storage shared auth".split())
+#: A lower-case text without any of these has no name that scores (owners score with a key only).
+NAME_HINTS = tuple(n for n in (*NAME_SCORES, "key") if not any(m in n for m in (*NAME_SCORES, "key") if m != n))
 HARMLESS = frozenset(
     "hash file path url uri name length len size count type id policy hint field label prompt regex "
     "pattern expiry ttl limit public endpoint header param column title".split())
 PLACEHOLDER = re.compile(
     r"^(?:\$\{.*\}|\{\{.*\}\}|<.*>|%\w+%|[xX*.#-]+|.*(?:changeme|example|placeholder|your[_-]|dummy|todo).*"
     r"|none|null|true|false|undefined)$", re.I)
+#: Names score above 2/3 so that each can reach this with a value of full score.
 LEAST = 0.8
 
 _QUOTED = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'"
+#: Word before the value in a header; not a part of the secret.
+_SCHEME = r"(?i:bearer|basic)[ \t]+"
 _NAME = r"[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*"
 ASSIGNMENT = re.compile(
     rf"(?<![\w$.-])(?P<quote>[\"'`]?)(?P<name>{_NAME})(?P=quote)[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*"
     rf"(?P<value>(?:{_QUOTED})(?:[ \t]*\+?[ \t]*(?:{_QUOTED}|(?<=\+)[ \t]*{_NAME}))*"
-    rf"|{_NAME}(?:[ \t]*\+[ \t]*(?:{_QUOTED}|{_NAME}))+|[^\s\"'`,;()\[\]{{}}<>|]+)", re.A)
+    rf"|{_NAME}(?:[ \t]*\+[ \t]*(?:{_QUOTED}|{_NAME}))+|(?:{_SCHEME})?[^\s\"'`,;()\[\]{{}}<>|]+)", re.A)
+SCHEME = re.compile(_SCHEME)
 PIECE = re.compile(rf"(?P<text>{_QUOTED})|(?P<name>{_NAME})", re.A)
 WORD_IN_NAME = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -82,14 +86,19 @@ def literals(text: str) -> list[tuple[int, int]]:
         if value[0] in "\"'" or "+" in value and PIECE.match(value):
             for p in PIECE.finditer(value):
                 if p["text"]:
-                    pieces.append((at + p.start() + 1, at + p.end() - 1, False))
+                    start, end = at + p.start() + 1, at + p.end() - 1
+                    scheme = not pieces and SCHEME.match(text, start, end)
+                    pieces.append((scheme.end() if scheme else start, end, False))
                 else:
                     pieces += known.get(p["name"], [])
-        elif value in known:
-            pieces = known[value]
         else:
-            bare = value.rstrip(".:")
-            pieces = [(at, at + len(bare), True)]
+            scheme = SCHEME.match(value)
+            skip = scheme.end() if scheme else 0
+            bare = value[skip:].rstrip(".:")
+            if value[skip:] in known:
+                pieces = known[value[skip:]]
+            else:  # after a scheme a value is a literal, unless it looks like a word
+                pieces = [(at + skip, at + skip + len(bare), not (scheme and re.search("[^a-z]", bare[1:])))]
         known[m["name"]] = pieces
         score = name_score(m["name"])
         if score:
