@@ -11,7 +11,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from math import log
+from math import exp, log
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,6 +21,10 @@ from lakesteps.llm.common import free_name, per_text, text_or_empty
 SAMPLE = 400
 #: Words of elements left out: small, so a notice inside an article does not cut it in two.
 LEFT_OUT = -0.05
+#: Words of the default score that count beside the words seen at a place.
+PRIOR_WORDS = 50
+#: Least words of a block outside links that make it long.
+LONG = 12
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|title)\b.*?(?:</\1\s*>|\Z)"
@@ -45,6 +49,10 @@ SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}
                 "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 
 
+def _default(place: str) -> float:
+    return -1.0 if place.endswith(" a") else 1.0
+
+
 @dataclass
 class Weights:
     """Score of a word by where it stands, and of a tag by its name."""
@@ -54,9 +62,7 @@ class Weights:
 
     def word(self, place: str) -> float:
         found = self.words.get(place)
-        if found is None:
-            found = -1.0 if place.endswith(" a") else 1.0
-        return found
+        return _default(place) if found is None else found
 
     def tag(self, name: str) -> float:
         return self.tags.get(name, -0.5)
@@ -78,8 +84,33 @@ def _left_out(name: str, attributes: str, in_article: bool) -> bool:
     return bool(attributes and HIDDEN.search(attributes))
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
-    """(kind, place, value, left out): kind text with the raw text, or tag with the name."""
+def tokens(page: str) -> list[tuple[str, str, str, bool, bool]]:
+    """(kind, place, value, left out, in an article): kind text with the raw text, or tag with the name.
+
+    The place tells the length of the block (between two block tags), and its tag or that it is in
+    a link; not whether it is in an article, which pages need not name.
+    """
+    seen, block, words = [], [], 0
+
+    def settle() -> None:
+        nonlocal words
+        length = "long" if words >= LONG else "short"
+        seen.extend((kind, f"{length} {place}", *rest) for kind, place, *rest in block)
+        block.clear()
+        words = 0
+
+    for token in _tokens(page):
+        kind, place, value, gone, _ = token
+        if kind == "tag" and value in BLOCKS:
+            settle()
+        elif kind == "text" and place != "a" and not gone:
+            words += len(value.split())
+        block.append(token)
+    settle()
+    return seen
+
+
+def _tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
     stack: list[tuple[str, bool]] = []  # open elements, and whether each is left out
     out = articles = links = at = 0
     block = "body"
@@ -92,10 +123,10 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
             articles -= name in ("article", "main")
             links -= name == "a"
 
-    place = lambda: f"{'article' if articles else 'page'} {'a' if links else block}"
+    place = lambda: "a" if links else block
     for m in TOKEN.finditer(page):
         if m.start() > at:
-            yield "text", place(), page[at:m.start()], out > 0
+            yield "text", place(), page[at:m.start()], out > 0, articles > 0
         at = m.end()
         name = (m[3] or "").lower()
         if not name:
@@ -118,9 +149,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool]]:
                 links += name == "a"
         if name in BLOCKS:
             block = name if not m[2] else next((n for n, _ in reversed(stack) if n in BLOCKS), "body")
-        yield "tag", place(), name, out > 0
+        yield "tag", place(), name, out > 0, articles > 0
     if at < len(page):
-        yield "text", place(), page[at:], out > 0
+        yield "text", place(), page[at:], out > 0, articles > 0
 
 
 def learn(pages: list[str]) -> Weights:
@@ -130,15 +161,15 @@ def learn(pages: list[str]) -> Weights:
     for page in pages:
         if not re.search(r"<(article|main)\b", page, re.I):
             continue
-        for kind, place, value, gone in tokens(page):
-            inside = place.startswith("article")
+        for kind, place, value, gone, inside in tokens(page):
             if not gone and kind == "text":
                 words[inside][place] += len(value.split())
             elif not gone:
                 tags[inside][value] += 1
     learned = Weights()
     for place in words[True].keys() | words[False].keys():
-        odds = log((words[True][place] + 1) / (words[False][place] + 1))
+        prior = PRIOR_WORDS * exp(_default(place))
+        odds = log((words[True][place] + prior) / (words[False][place] + PRIOR_WORDS))
         learned.words[place] = min(2.0, max(-2.0, odds))
     for name in tags[True].keys() | tags[False].keys():
         share = tags[False][name] / (tags[True][name] + tags[False][name])
@@ -146,22 +177,33 @@ def learn(pages: list[str]) -> Weights:
     return learned
 
 
-def main_text(page: str, weights: Weights) -> str:
-    """The best region's text: one line per block; empty if no region scores above zero."""
-    seen = list(tokens(page))
+def _best_span(seen: list[tuple[str, str, str, bool, bool]], weights: Weights) -> tuple[int, int]:
+    """Start and end of the stretch with the largest sum; (0, 0) if none is above zero."""
+    named = any(inside for *_, inside in seen)
     best, best_span, sum_, start = 0.0, (0, 0), 0.0, 0
-    for i, (kind, place, value, gone) in enumerate(seen):
+    for i, (kind, place, value, gone, inside) in enumerate(seen):
         if kind == "tag":
             score = LEFT_OUT if gone else weights.tag(value)
         else:
             score = len(value.split()) * (LEFT_OUT if gone else weights.word(place))
+            if named and not inside and not gone:  # the page says where its article is
+                score = -abs(score)
         if sum_ <= 0:
             sum_, start = 0.0, i
         sum_ += score
         if sum_ > best:
             best, best_span = sum_, (start, i + 1)
+    return best_span
+
+
+def main_text(page: str, weights: Weights) -> str:
+    """The best region's text: one line per block; empty if no region scores above zero."""
+    seen = tokens(page)
+    best_span = _best_span(seen, weights)
+    if best_span == (0, 0):  # a page unlike those learned from
+        best_span = _best_span(seen, Weights())
     blocks, line = [], []
-    for kind, _, value, gone in seen[slice(*best_span)]:
+    for kind, _, value, gone, _ in seen[slice(*best_span)]:
         if kind == "text":
             if not gone:
                 line.append(html.unescape(value))

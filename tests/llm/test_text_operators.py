@@ -275,3 +275,17 @@ def test_page_edges(spark):
     assert got == sorted([(1, None, "", 0), (2, "u", "", 0), (3, "u", "plain words only", 16), (4, "u", "", 0), (4, "u", "", 0),
                           (5, "u", "cut off", 7), (None, "u", "a < b", 5)], key=str)
     assert html_extract.extract_text(pages.limit(0)).collect() == []
+
+
+def test_pages_built_of_divs_keep_their_text_beside_pages_that_name_articles(spark):
+    """A few plain words outside the articles say nothing about pages that name none."""
+    line = "These are some words of a story that goes on for a while, so that it is long."
+    named = f"<body><p>Seven plain words stand outside of it.</p><div>Made by a small firm in town</div><article><p>{line}</p><p>{line}</p></article></body>"
+    divs = f"<body><nav><a>one</a></nav><div><div>{line}</div><p>{line}</p><div>{line} <a href=x>more</a> {line}</div></div><footer>end</footer></body>"
+    rows = [(i, "u", named) for i in range(120)] + [(200, "u", divs)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_text(pages).where("page_id in (7, 200)").collect()}
+    assert got == {7: f"{line}\n{line}", 200: f"{line}\n{line}\n{line} more {line}"}
+    # short blocks only, of a kind seen outside articles alone
+    weights = html_extract.learn([named] * 120)
+    assert html_extract.main_text("<body><div>Short words here</div></body>", weights) == "Short words here"
