@@ -29,8 +29,8 @@ LONG = 12
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|title)\b.*?(?:</\1\s*>|\Z)"
     r"|<[!?/a-zA-Z][^>]*\Z|<!.*?>|<\?.*?>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S | re.I)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption "
@@ -45,6 +45,16 @@ ASIDE_NAMES = frozenset(
     "navbar nav navigation breadcrumb breadcrumbs footer topbar masthead comment comments comentarios "
     "commentaires kommentare disqus reply replies respond discussion share sharing social related recommended widget popup "
     "modal overlay login signin signup search pagination pager toolbar skip".split())
+#: Names of those that leave an element out also inside an article; others may name a part of one.
+NEVER_ARTICLE = frozenset(
+    "ad ads advert adverts advertisement adsense cookie cookies newsletter sidebar navbar breadcrumb breadcrumbs "
+    "comments comentarios commentaires kommentare disqus pagination".split())
+#: Words that may stand beside such a name without changing what it says.
+BESIDE = frozenset(
+    "area bar block bottom box container global inner left links list main outer page primary right secondary "
+    "section site top wrap wrapper".split())
+#: Headings and paragraphs are not left out for a name: theirs are mostly made from their words.
+NAMED_BY_WORDS = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"},
                 "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 
@@ -68,20 +78,29 @@ class Weights:
         return self.tags.get(name, -0.5)
 
 
+def _names_aside(value: str, names: frozenset[str]) -> bool:
+    """Whether a class or id, as a whole, is one of the names, alone or with words beside it."""
+    for token in value.split():
+        words = [w for w in re.split(r"[-_:]+", token) if w]
+        if names.intersection(words) and all(w in ASIDE_NAMES or w in BESIDE for w in words):
+            return True
+    return False
+
+
 def _left_out(name: str, attributes: str, in_article: bool) -> bool:
     if name in ASIDE_TAGS or name == "header" and not in_article:
         return True
-    if name in ("html", "body", "main", "article"):
+    if name in ("html", "body", "main", "article") or not attributes:
         return False
-    if "=" in attributes:
-        for key, *values in ATTRIBUTE.findall(attributes):
-            value = "".join(values).lower()
-            if key.lower() == "role":
-                if value in ASIDE_ROLES:
-                    return True
-            elif ASIDE_NAMES.intersection(re.split(r"[^a-z0-9]+", value)):
-                return True
-    return bool(attributes and HIDDEN.search(attributes))
+    given: dict[str, str] = {}
+    for key, *values in ATTRIBUTE.findall(attributes):
+        given.setdefault(key.lower(), "".join(values).lower())
+    if given.get("role") in ASIDE_ROLES or "hidden" in given or given.get("aria-hidden") == "true":
+        return True
+    if NO_DISPLAY.search(given.get("style", "")):
+        return True
+    names = NEVER_ARTICLE if in_article else ASIDE_NAMES
+    return name not in NAMED_BY_WORDS and any(_names_aside(given.get(k, ""), names) for k in ("class", "id"))
 
 
 def tokens(page: str) -> list[tuple[str, str, str, bool, bool]]:

@@ -289,3 +289,22 @@ def test_pages_built_of_divs_keep_their_text_beside_pages_that_name_articles(spa
     # short blocks only, of a kind seen outside articles alone
     weights = html_extract.learn([named] * 120)
     assert html_extract.main_text("<body><div>Short words here</div></body>", weights) == "Short words here"
+
+
+@pytest.mark.parametrize("main", ["article", "div"])
+@pytest.mark.parametrize("tag", [
+    'div class="content no-sidebar"', 'div class="post has-comments"', 'h2 id="share-prices-fall"', 'h2 id="related-work"',
+    'section id="search-methods"', 'p title="a hidden gem"', 'div data-x="display:none"', 'p class="notice"'])
+def test_names_that_only_hold_a_listed_word_leave_nothing_out(main, tag):
+    line = "Some words of the story that are to stay where they are."
+    page = f"<body><{main}><p>{line}</p><{tag}>Here it goes on.</{tag.split()[0]}><p>{line}</p></{main}></body>"
+    assert html_extract.main_text(page, html_extract.Weights()) == f"{line}\nHere it goes on.\n{line}"
+
+
+def test_whole_names_and_hidden_elements_are_left_out():
+    line = "Some words of the story that are to stay where they are."
+    for tag in ('div class="x sidebar-left"', 'section id=comments', "div class='ad'", "div hidden", "p style='color:red; display : none'", 'p aria-hidden="true"'):
+        page = f"<article><p>{line}</p><{tag}>Not this.</{tag.split()[0]}><p>{line}</p></article>"
+        assert html_extract.main_text(page, html_extract.Weights()) == f"{line}\n{line}"
+    inside = f'<section id="discussion"><p>{line}</p></section>'
+    assert html_extract.main_text(f"<article>{inside}</article>", html_extract.Weights()) == line
