@@ -8,9 +8,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Rows of one Arrow batch; texts may be long, and a task holds a few batches at a time.
-BATCH_ROWS = 256
-#: Bytes of text a Python task works on at once.
+#: Bytes of text a Python task works on at once. Spark bounds what it sends by
+#: spark.sql.execution.arrow.maxBytesPerBatch; no setting of the session is changed here.
 BATCH_BYTES = 8 << 20
 #: White space as the word rules define it (code points 32 and 9 to 13).
 BLANKS = " \t\n\x0b\x0c\r"
@@ -29,23 +28,16 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
-def small_batches(df: DataFrame) -> None:
-    """Have Python stages of this session receive few rows at a time, as rows hold whole texts."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
-        df.sparkSession.conf.set(key, str(BATCH_ROWS))
-
-
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that each holds about BATCH_BYTES of ``column``, or one row."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
+           size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that each holds about ``size`` bytes of ``column``, or one row."""
     for batch in batches:
-        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start, held = 0, 0
-        for i, size in enumerate(sizes):
-            if i > start and held + size > BATCH_BYTES:
+        for i, length in enumerate(pc.binary_length(batch.column(column)).fill_null(0).to_pylist()):
+            if i > start and held + length > size:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
-            held += size
+            held += length
         if start < batch.num_rows:
             yield batch.slice(start)
 
@@ -57,7 +49,6 @@ def per_text(df: DataFrame, work: Callable[[list[str]], list[tuple]], schema: st
     ``work`` gets a list of texts (null: empty) and returns one tuple per text, in the order of
     ``schema``. The other columns of ``df`` pass through unchanged; the text itself does not.
     """
-    small_batches(df)
     added = df.sparkSession.createDataFrame([], schema).schema
     keep = [c for c in df.columns if c != text]
     out_schema = df.select(*(f"`{c}`" for c in keep)).schema

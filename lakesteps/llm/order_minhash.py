@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
-from lakesteps.llm.common import free_name, per_text, slices, small_batches, text_or_empty
+from lakesteps.llm.common import free_name, per_text, slices, text_or_empty
 from lakesteps.llm.components import components
 from lakesteps.session import materialize
 
@@ -206,7 +206,6 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    small_batches(both)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -226,13 +225,12 @@ def _word_counts(texts: DataFrame) -> np.ndarray:
     """For each bucket of words, how many texts hold a word of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column("text").to_pylist():
                 counts[np.unique(_buckets(words_of(text)))] += 1
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
 
-    small_batches(texts)
     sums = texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     table, counts = sums.toArrow(), np.zeros(BUCKETS, np.int32)
     counts[table.column("bucket").to_numpy()] = np.minimum(table.column("n").to_numpy(), 2**31 - 1)

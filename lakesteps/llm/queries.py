@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from lakesteps.llm import (
-    arc_warc, bpe, exact_dedup, html_extract, language_id, mixing, order_minhash, quality_rules,
-    secret_scan, token_counts,
+    arc_warc, bpe, exact_dedup, html_extract, language_id, mixing, order_minhash, periodic_runs,
+    quality_rules, secret_scan, token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,33 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_language_id")
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in each tenth document, by the checksum h of its id, words repeat from word a on.
+
+    With g = floor(h / 10), a = g % n, p = 1 + floor((n - a) / (3 + g % 8)), word i >= a becomes word
+    a + (i - a) % p.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all(
+        "text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("words"))
+    rows = rows.withColumns({"g": F.expr("h div 10"), "n": F.size("words")})
+    rows = rows.withColumn("a", F.expr("cast(g % greatest(n, 1) as int)"))
+    rows = rows.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    changed = F.expr("""concat(slice(words, 1, a), slice(flatten(array_repeat(
+        slice(words, a + 1, p), cast((n - a + p - 1) div p as int))), 1, n - a))""")
+    return rows.select("doc_id", F.when(F.expr("h % 10 = 0 and n > 0"), F.array_join(changed, " "))
+                       .otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    best = F.expr("array_max(transform(runs, r -> struct(r.length as l, -r.start as s, -r.period as p)))")
+    lines = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"), (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.l div -best.p").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
