@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from lakesteps.llm import (
-    arc_warc, bpe, chat_format, exact_dedup, html_extract, language_id, mixing, order_minhash,
-    periodic_runs, quality_rules, secret_scan, token_counts,
+    arc_warc, bpe, chat_format, exact_dedup, html_extract, language_id, merkle_manifest, mixing,
+    order_minhash, periodic_runs, quality_rules, secret_scan, token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +210,20 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    "conv_id long, turn long, role string, text string")
     examples = chat_format.training_examples(turns.unionByName(marked))
     return chat_format.read_back(examples, in_order=True).drop("n_examples")
+
+
+@query("op13_merkle_manifest")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, sf_dir, "documents").select(*fields)
+    # every second document, by the checksum of its id, is checked with its line breaks gone
+    text = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    tampered = merkle_manifest.leaf_digest(
+        *[F.coalesce(text, "text") if f == "text" else F.col(f) for f in fields])
+    manifest = merkle_manifest.build_manifest(docs, fields, carry={"tampered": tampered})
+    rows = merkle_manifest.with_proofs(manifest)
+    return rows.select(
+        F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root",
+        F.sha2(merkle_manifest.siblings(F.col("proof")), 256).alias("proof_sha256"),
+        merkle_manifest.fold(F.col("tampered"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
