@@ -25,3 +25,4 @@ from lakesteps.operators.select import (  # noqa: F401
     keep_containing, newest, newest_first, project, require, require_text, take_until_marker,
     unique_columns, with_lineage, with_processed_at,
 )
+from lakesteps.operators.terms import term_matches  # noqa: F401

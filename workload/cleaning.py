@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakesteps import functions as L
 from lakesteps.operators import (
-    check, keep_containing, not_null, require, require_text, score_text, union_all, unique,
+    check, keep_containing, not_null, require, require_text, score_text, term_matches, union_all, unique,
     word_list_label, word_list_scorer, class_counts,
 )
 from workload.registry import initcap, partial_date, query, rnd, strict_date, trim
@@ -183,6 +183,17 @@ def text_clean(t):
 TERMS = ("license", "copyright", "password", "avec", "über", "para", "whthe", "ndtion", "@", "http")
 
 
+# Terms from a table: whole passages, their first eight signs, and their first three, which most texts hold.
+@query("terms_from_table", """
+WITH t AS (SELECT item_id, k, substr(text, 1, k) AS term FROM benchmark, unnest([3, 8, 100000]) AS u(k))
+SELECT doc_id, item_id * 10 + CASE k WHEN 3 THEN 0 WHEN 8 THEN 1 ELSE 2 END AS term_no
+FROM documents JOIN t ON contains(lower(text), lower(term)) WHERE term <> ''""")
+def terms_from_table(t):
+    cut = lambda n, k: F.struct((F.col("item_id") * 10 + n).alias("term_no"), F.substring("text", 1, k).alias("term"))
+    terms = t("benchmark").select(F.inline(F.array(cut(0, 3), cut(1, 8), cut(2, 100000))))
+    return term_matches(t("documents"), terms, "doc_id", "text", "term_no", "term")
+
+
 @query("contains_any", f"""
 SELECT doc_id, lang FROM documents
 WHERE {" OR ".join(f"contains(lower(source || ' ' || text), '{w}')" for w in TERMS)}""")
