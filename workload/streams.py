@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from lakesteps.operators import keep_last
 from lakesteps.session import run_dir
 from lakesteps.streaming import (
-    read_stream, stream_append, stream_daily_counts, stream_dedup, stream_merge, write_stream,
+    read_corrected_days, read_first_seen, read_late, read_stream, stream_append, stream_corrected_days,
+    stream_daily_counts, stream_dedup, stream_first_seen, stream_merge, write_stream,
 )
 from workload.registry import query
 
@@ -115,3 +116,50 @@ def stream_dedup_batches(t):
     kept = stream_dedup(stream, "ts", "30 years", ["user_id"])
     _finish(write_stream(kept.select("user_id"), f"{root}/out", f"{root}/cp"))
     return t.spark.read.schema("user_id bigint").parquet(f"{root}/out")
+
+
+def _in_three(rows, root, schema):
+    """The stream of each of three arrivals in turn, a third of the events each by ``part``."""
+    for part in range(3):
+        rows.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{root}/in")
+        yield read_stream(rows.sparkSession, f"{root}/in", schema, "parquet")
+
+
+# Users come again in every arrival, at times before and after those of the arrivals before.
+@query("stream_seen_ever", """
+SELECT event_id, user_id, event_type, value, event_id % 3 AS part FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id % 3, ts, event_id) = 1""")
+def stream_seen_ever(t):
+    _, _, root = _arrivals(t)
+    rows = t("events").withColumn("part", F.col("event_id") % 3)
+    for stream in _in_three(rows, root, t("events").schema):
+        _finish(stream_first_seen(stream, root, f"{root}/cp", ["user_id", "event_type"], ["ts", "event_id"], keep=1))
+    kept = read_first_seen(t.spark, root, t("events").schema)
+    return kept.select("event_id", "user_id", "event_type", "value", (F.col("event_id") % 3).alias("part"))
+
+
+# A delay of two days against arrivals that each span the whole time: most rows of the later two are late.
+@query("stream_days_corrected", """
+WITH a AS (SELECT event_id, CAST(ts AS DATE) AS day, ts, event_type AS cls, event_id % 3 AS part FROM events),
+m AS (SELECT p AS part, max(ts) - INTERVAL 2 DAY AS mark FROM a JOIN (SELECT unnest([1, 2]) AS p) ON a.part < p GROUP BY p)
+SELECT day, cls, count(*) AS n, count(*) FILTER (CAST(day + INTERVAL 1 DAY AS TIMESTAMP) <= mark) AS n_late
+FROM a LEFT JOIN m USING (part) GROUP BY day, cls""")
+def stream_days_corrected(t):
+    _, _, root = _arrivals(t)
+    rows = t("events").withColumn("part", F.col("event_id") % 3)
+    for stream in _in_three(rows, root, t("events").schema):
+        _finish(stream_corrected_days(stream, root, f"{root}/cp", "ts", "event_type", "2 DAYS"))
+    return read_corrected_days(t.spark, root)
+
+
+@query("stream_late_rows", """
+WITH m AS (SELECT p AS part, max(ts) - INTERVAL 2 DAY AS mark
+           FROM events JOIN (SELECT unnest([1, 2]) AS p) ON event_id % 3 < p GROUP BY p)
+SELECT event_id, user_id FROM events JOIN m ON part = event_id % 3
+WHERE CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS TIMESTAMP) <= mark""")
+def stream_late_rows(t):
+    _, _, root = _arrivals(t)
+    rows = t("events").withColumn("part", F.col("event_id") % 3)
+    for stream in _in_three(rows, root, t("events").schema):
+        _finish(stream_corrected_days(stream, root, f"{root}/cp", "ts", "event_type", "2 DAYS"))
+    return read_late(t.spark, root, t("events").schema).select("event_id", "user_id")
