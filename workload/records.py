@@ -15,7 +15,7 @@ from lakesteps.operators.records import Element, FieldRule, ListingRule
 from lakesteps.plans.articles import epoch_listing, iso_listing, json_listing
 from lakesteps.session import run_dir
 from lakesteps.sources import (
-    append, export_csv, load_mark, read_delimited, read_inferred_csv, read_partition,
+    append, export_csv, load_mark, read_csv_blocks, read_delimited, read_inferred_csv, read_partition,
     read_typed_csv, replace, save_mark, union_feeds,
 )
 from workload.registry import query
@@ -198,6 +198,15 @@ def outer_join_days(t):
 
 # ---- files
 
+# Texts with line breaks and quotes, through files that are cut into blocks wherever their size says.
+@query("csv_blocks", "SELECT doc_id, lang, source, n_chars, text FROM documents")
+def csv_blocks(t):
+    root = f"{run_dir(t.spark)}/blocks-{uuid.uuid4().hex}"
+    docs = t("documents").select("doc_id", "lang", "source", "n_chars", "text")
+    export_csv(docs, root)
+    return read_csv_blocks(t.spark, root, docs.schema)
+
+
 @query("csv_roundtrip", """
 SELECT 'delimited' AS step, CAST(c_custkey AS VARCHAR) AS key, c_name || ', "x"' AS value FROM customer
 UNION ALL SELECT 'typed', CAST(c_custkey AS VARCHAR), c_mktsegment FROM customer
