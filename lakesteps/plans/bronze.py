@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date as Date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lakesteps import schemas
 from lakesteps import functions as L
@@ -19,7 +19,9 @@ from lakesteps.operators.rollup import class_counts
 from lakesteps.operators.scoring import Scorer, score_text
 from lakesteps.operators.select import with_lineage
 from lakesteps.session import materialize
+from lakesteps.sources.day_tables import patch_wide, refresh_days, stored_days
 from lakesteps.sources.readers import union_feeds
+from lakesteps.sources.writers import save_mark
 
 
 def flight_bronze(
@@ -176,3 +178,28 @@ def trend_refresh(
     wide = pivot_last(long, "search_date", "keyword", "search_interest", keywords, ["search_date"])
     mark = long.agg(F.max("search_date").cast("string").alias("last_date"))
     return long, wide, mark
+
+
+def trend_refresh_days(
+    spark: SparkSession,
+    root: str,
+    groups: Sequence[DataFrame],
+    window: tuple[Date, Date],
+    anchor: str = TREND_ANCHOR,
+    keywords: Sequence[str] = TREND_KEYWORDS,
+    crawl_time: Column | None = None,
+) -> tuple[T.StructType, T.StructType]:
+    """``trend_refresh`` on stored tables: ``root/long`` and ``root/wide`` by day, and ``root/mark``.
+
+    Of both tables only the days of the window, and earlier ones that the groups name, are read or
+    written; the cost follows the window and not the history. Returns the schemas to read them with.
+    """
+    new = trend_long(groups, anchor, crawl_time=crawl_time)
+    new = new.withColumn("search_interest", L.to_long(F.col("search_interest")))
+    long, wide = f"{root.rstrip('/')}/long", f"{root.rstrip('/')}/wide"
+    days = refresh_days(new, long, "search_date", window[0], ["search_date", "keyword"])
+    schema = patch_wide(spark, long, new.schema, wide, days, "search_date", "keyword", "search_interest", keywords)
+    last = max((d for d in stored_days(spark, long, "search_date") if d), default=None)
+    if last is not None:
+        save_mark(spark.createDataFrame([(last.isoformat(),)], "last_date string"), f"{root.rstrip('/')}/mark")
+    return new.schema, schema

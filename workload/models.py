@@ -6,6 +6,8 @@ that all feeds share the months from 2020 on.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakesteps.operators import keep_first, word_list_scorer
@@ -15,7 +17,8 @@ from lakesteps.operators.quality import SILVER_RULES
 from lakesteps.plans import bronze, gold, silver
 from lakesteps.plans.articles import refresh_articles
 from lakesteps.plans.build import check_silver
-from lakesteps.session import materialize
+from lakesteps.session import materialize, run_dir
+from lakesteps.sources import load_mark, read_days
 from workload.cleaning import (
     NEGATIVE_WORDS, ORDER_DATE_TEXT, POSITIVE_WORDS, SCORED_SQL, order_date_text,
 )
@@ -538,6 +541,56 @@ def model_trend_refresh_wide(t):
     return wide.withColumn("last_date", mark.scalar())
 
 
+def refreshed_by_day(t):
+    """The same refresh on tables stored by day: where they lie, their schemas, and the long table's
+    files before and after."""
+    events = t("events").select("ts", "event_type", "value")
+    stamp = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    root = f"{run_dir(t.spark)}/trend-{uuid.uuid4().hex}"
+    last = high_water_value(events.select(F.to_date("ts").alias("d")), "d")
+    bronze.trend_refresh_days(t.spark, root, [_group(events, k, 0) for k in GROUPS],
+                              reprocess_window(None, last), ANCHOR, KEYWORDS, stamp)
+    before = materialize(day_files(t.spark, f"{root}/long"), "trend-files")
+    window = reprocess_window(last, last, days=9)
+    groups = [_group(events.where(F.to_date("ts") >= F.lit(window[0])), k, 20) for k in GROUPS]
+    long, wide = bronze.trend_refresh_days(t.spark, root, groups, window, ANCHOR, KEYWORDS, stamp)
+    return root, long, wide, before, day_files(t.spark, f"{root}/long")
+
+
+def day_files(spark, path):
+    """Days and the names of their files."""
+    return spark.read.schema("keyword string, search_date date").parquet(path).select(
+        "search_date", F.col("_metadata.file_name").alias("file")).distinct()
+
+
+@query("model_trend_days_long", with_ctes(
+    "SELECT *, 'google_trends' AS source, 'pytrends' AS source_system FROM trend_table", "trend_table"))
+def model_trend_days_long(t):
+    root, long, *_ = refreshed_by_day(t)
+    return read_days(t.spark, f"{root}/long", long).drop("crawl_time")
+
+
+@query("model_trend_days_wide", with_ctes("SELECT search_date, " + ", ".join(
+    f"max(search_interest) FILTER (keyword = '{k}') AS \"{k}\"" for k in KEYWORDS)
+    + ", (SELECT CAST(max(search_date) AS VARCHAR) FROM trend_table) AS last_date FROM trend_table GROUP BY 1",
+    "trend_table"))
+def model_trend_days_wide(t):
+    root, _, wide, *_ = refreshed_by_day(t)
+    mark = load_mark(t.spark, f"{root}/mark", "last_date string")
+    return read_days(t.spark, f"{root}/wide", wide).withColumn("last_date", F.lit(mark["last_date"]))
+
+
+# Which days have other files after the refresh than before it: those of the window.
+@query("model_trend_days_untouched", with_ctes("""
+SELECT search_date, search_date >= (SELECT max(search_date) - 9 FROM trend_counts) AS written
+FROM trend_counts GROUP BY 1""", "trend_counts"))
+def model_trend_days_untouched(t):
+    *_, before, after = refreshed_by_day(t)
+    both = before.withColumn("old", F.lit(1)).unionByName(after.withColumn("old", F.lit(0)))
+    return both.groupBy("search_date", "file").agg(F.count(F.lit(1)).alias("n")).groupBy("search_date").agg(
+        (F.min("n") < 2).alias("written"))
+
+
 NEWS_SQL = f"""
 SELECT doc_id AS article_id, CAST(DATE '2020-01-01' + CAST(n_chars % 2400 AS INTEGER) AS DATE) AS publish_date,
   md5(text) AS summary_md5, source, url, s.score AS sentiment_score, s.label AS sentiment_label
