@@ -41,14 +41,20 @@ PLACEHOLDER = re.compile(
 #: Names score above 2/3 so that each can reach this with a value of full score.
 LEAST = 0.8
 
-_QUOTED = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'"
+_QUOTED = r"\"(?:[^\"\\\n]|\\.)*\"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\\n]|\\.)*`"
 #: Word before the value in a header; not a part of the secret.
 _SCHEME = r"(?i:bearer|basic)[ \t]+"
 _NAME = r"[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*"
 ASSIGNMENT = re.compile(
-    rf"(?<![\w$.-])(?P<quote>[\"'`]?)(?P<name>{_NAME})(?P=quote)[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*"
-    rf"(?P<value>(?:{_QUOTED})(?:[ \t]*\+?[ \t]*(?:{_QUOTED}|(?<=\+)[ \t]*{_NAME}))*"
-    rf"|{_NAME}(?:[ \t]*\+[ \t]*(?:{_QUOTED}|{_NAME}))+|(?:{_SCHEME})?[^\s\"'`,;()\[\]{{}}<>|]+)", re.A)
+    rf"(?<![\w$.-])(?P<quote>[\"'`]?)(?P<name>{_NAME})(?P=quote)[ \t]*+(?::=|=>|=(?!=)|:(?![:/]))[ \t]*+"
+    rf"(?P<value>(?:{_QUOTED})(?:[ \t]*+(?:{_QUOTED}|\+[ \t]*+(?:{_QUOTED}|{_NAME})))*"
+    rf"|{_NAME}(?:[ \t]*+\+[ \t]*+(?:{_QUOTED}|{_NAME}))+|(?:{_SCHEME})?[^\s\"'`,;()\[\]{{}}<>|]+)", re.A)
+#: A name and its literal as two attributes of an element, or as two values of a call or list.
+PAIR = re.compile(
+    rf"\b(?:key|name|id)[ \t]*+=[ \t]*+(?P<key>{_QUOTED})\s++value[ \t]*+=[ \t]*+(?P<value>{_QUOTED})"
+    rf"|[(\[{{][ \t]*+(?P<first>{_QUOTED})[ \t]*+,[ \t]*+(?P<second>{_QUOTED})[ \t]*+(?=[)\]}},])", re.A)
+#: A value that is itself assigned to: a = b = "..."
+CHAINED = re.compile(rf"{_NAME}(?:[ \t]++=[ \t]++(?!=)|[ \t]*+=[ \t]*+(?=[\"'`]))", re.A)
 SCHEME = re.compile(_SCHEME)
 PIECE = re.compile(rf"(?P<text>{_QUOTED})|(?P<name>{_NAME})", re.A)
 WORD_IN_NAME = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
@@ -79,11 +85,25 @@ def literal_score(value: str, bare: bool) -> float:
 def literals(text: str) -> list[tuple[int, int]]:
     """Spans (code points, end exclusive) of literals that reach sensitive names, without quotes."""
     known: dict[str, list[tuple[int, int, bool]]] = {}
-    found = set()
-    for m in ASSIGNMENT.finditer(text):
-        at, value = m.start("value"), m["value"]
+    found: set[tuple[int, int]] = set()
+
+    def judge(name: str, pieces: list[tuple[int, int, bool]]) -> None:
+        score = name_score(name)
+        if score:
+            whole = "".join(text[s:e] for s, e, _ in pieces)
+            shape = literal_score(whole, any(b for *_, b in pieces))
+            if shape and 0.6 * score + 0.4 * shape >= LEAST:
+                found.update((s, e) for s, e, _ in pieces if e > s)
+
+    place, waiting = 0, []
+    while m := ASSIGNMENT.search(text, place):
+        place, at, value = m.end(), m.start("value"), m["value"]
+        if CHAINED.match(text, at):
+            waiting.append(m["name"])
+            place = at
+            continue
         pieces: list[tuple[int, int, bool]] = []
-        if value[0] in "\"'" or "+" in value and PIECE.match(value):
+        if value[0] in "\"'`" or "+" in value and PIECE.match(value):
             for p in PIECE.finditer(value):
                 if p["text"]:
                     start, end = at + p.start() + 1, at + p.end() - 1
@@ -99,13 +119,13 @@ def literals(text: str) -> list[tuple[int, int]]:
                 pieces = known[value[skip:]]
             else:  # after a scheme a value is a literal, unless it looks like a word
                 pieces = [(at + skip, at + skip + len(bare), not (scheme and re.search("[^a-z]", bare[1:])))]
-        known[m["name"]] = pieces
-        score = name_score(m["name"])
-        if score:
-            whole = "".join(text[s:e] for s, e, _ in pieces)
-            shape = literal_score(whole, any(b for *_, b in pieces))
-            if shape and 0.6 * score + 0.4 * shape >= LEAST:
-                found.update((s, e) for s, e, _ in pieces if e > s)
+        for name in (m["name"], *waiting):
+            known[name] = pieces
+            judge(name, pieces)
+        waiting = []
+    for m in PAIR.finditer(text):
+        name, value = ("key", "value") if m["key"] else ("first", "second")
+        judge(m[name][1:-1], [(m.start(value) + 1, m.end(value) - 1, True)])
     return sorted(found)
 
 
@@ -120,7 +140,7 @@ def scan(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, in
     base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base.sort()
     spans = base
-    if ("=" in text or ":" in text) and any(h in low for h in NAME_HINTS):
+    if ("=" in text or ":" in text or "," in text) and any(h in low for h in NAME_HINTS):
         more = [(s, 3, e) for s, e in literals(text) if not any(a <= s and e <= b for a, _, b in base)]
         spans = sorted(base + more)
     named = lambda rows: [(s, KINDS[k], e) for s, k, e in rows]
