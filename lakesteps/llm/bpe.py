@@ -35,6 +35,40 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def unlike_signs() -> tuple[dict[int, str], dict[int, str]]:
+    """Where the Unicode versions used here and by the library differ.
+
+    Code points whose class differs, each with a sign that has the class it has there; and code
+    points that only the library puts in lower case.
+    """
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    lines = normalizers.Lowercase().normalize_str("\n".join(every.replace("\n", " "))).split("\n")
+    lower = {ord(c): low for c, low in zip(every, lines) if c != "\n" and low != c == c.lower()}
+    rest = set(every)
+    unlike = {}
+    for kind, alike in ((r"\p{L}", "a"), (r"\p{N}", "0"), (r"\s", " ")):
+        kept = pre_tokenizers.Split(Regex(kind), "removed").pre_tokenize_str(every)
+        theirs = rest.difference(*(piece for piece, _ in kept))
+        ours = set(regex.findall(kind, every))
+        unlike |= {ord(c): "\u2603" for c in ours - theirs if ord(c) not in unlike}
+        unlike |= {ord(c): alike for c in theirs - ours}
+    return unlike, lower
+
+
+def unordered_marks() -> str:
+    """Combining marks that the library's normal form leaves where they are, as it takes them for letters."""
+    from tokenizers import normalizers
+
+    marks = [chr(c) for c in range(0x110000) if unicodedata.combining(chr(c))]
+    # a mark of class 1 goes before one of a higher class, and one of class 1 before an accent
+    pairs = [f"a{c}\u0334" if unicodedata.combining(c) > 1 else f"a\u0315{c}" for c in marks]
+    formed = normalizers.NFC().normalize_str("\n".join(pairs)).split("\n")
+    return "".join(c for c, p, f in zip(marks, pairs, formed)
+                   if f == p and unicodedata.normalize("NFC", p) != p)
+
+
 class _Known(dict):
     """Results by key, worked out when first asked for; emptied at KNOWN entries."""
 
@@ -76,6 +110,10 @@ class WordBpe:
         self.last = [self.vocab.get(c + self.end) for c in letters]
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(split)
+        self.unlike, self.lower = unlike_signs()
+        marks = unordered_marks()
+        self.marks = regex.compile(f"([{marks}])") if marks else None
+        self.first_unlike = chr(min([*self.unlike, *self.lower], default=0x10FFFF))
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))))
         # Plain strings: unlike lists they cost the garbage collector nothing.
         self.piece_ids = _Known(lambda p: " ".join(map(str, self.merge(p))))
@@ -127,8 +165,17 @@ class WordBpe:
 
     def _chunk(self, chunk: str) -> str:
         # Sigma is lowered letter by letter, without the form for the end of a word.
-        plain = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return " ".join(map(self.piece_ids.__getitem__, self.pieces.findall(plain)))
+        if self.marks and max(chunk) >= "\u0300" and self.marks.search(chunk):
+            plain = "".join(unicodedata.normalize("NFC", p) for p in self.marks.split(chunk))
+        else:
+            plain = unicodedata.normalize("NFC", chunk)
+        plain = plain.replace("Σ", "σ").lower()
+        if max(plain) < self.first_unlike:
+            pieces = self.pieces.findall(plain)
+        else:  # cut by signs of the library's classes
+            plain = plain.translate(self.lower)
+            pieces = [plain[m.start():m.end()] for m in self.pieces.finditer(plain.translate(self.unlike))]
+        return " ".join(map(self.piece_ids.__getitem__, pieces))
 
     def _chunks(self, text: str) -> list[str]:
         if any(c in text for c in NOT_GAPS):
