@@ -116,6 +116,20 @@ def _features(docs: DataFrame, text: str, source: str, lang: str, topic) -> dict
             "n_tokens": count_words(body)}
 
 
+def document_features(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
+                      lang: str = "lang", topic=register_topic) -> DataFrame:
+    """id, source, lang, topic and n_tokens of each row, written once, as working them out reads whole texts."""
+    f = _features(docs, text, source, lang, topic)
+    return materialize(docs.select(F.col(f"`{id}`").alias("__id"), *(c.alias(k) for k, c in f.items())), "features")
+
+
+def plan_of(rows: DataFrame, targets: Mapping[str, DataFrame] | None = None, rate: float = RATE) -> DataFrame:
+    """``sampling_plan`` from rows that have source, lang, topic and n_tokens."""
+    cells = materialize(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    goals = tempered_targets(cells, TEMPER) | dict(targets or {})
+    return draw_rates(rake(cells, goals), rate)
+
+
 def sampling_plan(docs: DataFrame, text: str = "text", source: str = "source", lang: str = "lang",
                   topic=register_topic, targets: Mapping[str, DataFrame] | None = None,
                   rate: float = RATE) -> DataFrame:
@@ -125,11 +139,7 @@ def sampling_plan(docs: DataFrame, text: str = "text", source: str = "source", l
     languages are the value ''.
     """
     f = _features(docs, text, source, lang, topic)
-    cells = materialize(
-        docs.select(*(c.alias(k) for k, c in f.items())).groupBy(*DIMENSIONS)
-        .agg(F.sum("n_tokens").alias("tokens")), "cells")
-    goals = tempered_targets(cells, TEMPER) | dict(targets or {})
-    return draw_rates(rake(cells, goals), rate)
+    return plan_of(docs.select(*(c.alias(k) for k, c in f.items())), targets, rate)
 
 
 def chance(id: Column, seed: int = SEED) -> Column:
@@ -147,9 +157,8 @@ def mix_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", sourc
     that repeat an id within a cell share their fate, and a second run selects the same. Null or
     empty texts have no tokens. Null sources and languages appear as ''. Other columns are ignored.
     """
-    plan = sampling_plan(docs, text, source, lang, topic, targets, rate)
-    f = _features(docs, text, source, lang, topic)
-    rows = docs.select(F.col(f"`{id}`").alias("__id"), *(c.alias(k) for k, c in f.items()))
+    rows = document_features(docs, id, text, source, lang, topic)
+    plan = plan_of(rows, targets, rate)
     joined = rows.join(plan.select(*DIMENSIONS, "probability"), list(DIMENSIONS))
     return joined.select(
         F.col("__id").alias(id), *DIMENSIONS, "n_tokens", "probability",
