@@ -3,7 +3,11 @@
 An inverted index over character n-grams: a term is filed under one of its grams, the one that fewest
 texts hold, and a text meets only the terms filed under a gram of its own. A term all of whose grams
 are common is thus still filed under the least common one, and one with a gram that no text holds is
-dropped at once. Each meeting is then checked with ``contains``, so the result is exact.
+dropped at once. Each meeting is then checked by looking for the term, so the result is exact.
+
+Of a text only every STRIDE-th gram is taken, which makes a fourth of the grams. A term is filed once
+per place modulo the stride, as any of these may fall on the text's grams; the phase in which its
+first occurrence lies is the one that counts, so no pair comes twice.
 """
 
 from __future__ import annotations
@@ -14,8 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakesteps.session import materialize
 
-#: Gram lengths; a term is filed by the longest that fits in it.
-WIDTHS = (8, 3, 1)
+#: (least length of a term, length of its grams, stride of the text's grams), the first that fits.
+CLASSES = ((8, 5, 4), (3, 3, 1), (1, 1, 1))
 #: Bits of the filter that thins a text's grams before they become rows: 512 KiB whatever the number
 #: of terms. Grams it lets through by chance cost time and change nothing.
 FILTER_BITS = 22
@@ -23,9 +27,15 @@ FILTER_BITS = 22
 ROWS_PER_GRAM = 1_000_000
 
 
-def _grams(text: Column, width: int) -> Column:
-    """The distinct stretches of ``width`` characters, in one pass over the text."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{width}}}))"), F.lit(1)))
+#: An index measured to be no larger goes to every task; a larger one is shuffled with the hits.
+BROADCAST_BYTES = 16 << 20
+#: Tasks that one gram is dealt to at most, as every row of the index is there for each.
+MOST_DEALS = 64
+
+
+def _grams(text: Column, width: int, stride: int) -> Column:
+    """Stretches of ``width`` characters at every ``stride``-th place, in one pass over the text."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{width}}})).{{{stride}}}"), F.lit(1))
 
 
 def _place(gram: Column) -> Column:
@@ -44,12 +54,12 @@ def _bitmap(grams: DataFrame) -> Column:
     return materialize(dense.agg(listed["bits"].alias("bits")), "gram-filter").scalar()
 
 
-def _hits(texts: DataFrame, widths: list[int], bitmap: Column) -> DataFrame:
+def _hits(texts: DataFrame, classes: list[tuple[int, int, int]], bitmap: Column) -> DataFrame:
     """``texts`` with one row per distinct gram that passes the filter.
 
     The outer form of explode, as for the other the optimizer adds a test that works the grams out twice.
     """
-    grams = [_grams(F.col("__text"), w) for w in widths]
+    grams = [F.array_distinct(_grams(F.col("__text"), w, stride)) for _, w, stride in classes]
     rows = texts.withColumn("gram", F.explode_outer(grams[0] if len(grams) == 1 else F.concat(*grams)))
     word = F.get(bitmap, F.shiftright(_place(F.col("gram")), 6).cast("int"))
     return rows.where(F.getbit(word, F.xxhash64("gram").bitwiseAND(F.lit(63)).cast("int")) == 1)
@@ -61,33 +71,53 @@ def term_matches(texts: DataFrame, terms: DataFrame, id: str, text: str, term_id
 
     Equal terms are looked for once and given back under each of their ids. Null texts hold nothing,
     null and empty terms are in no text; repeated rows count each. Texts are read twice: to count
-    how many hold each gram of the terms, and to look up the rarest. Neither step shuffles texts
-    while the index of one row per term is small enough to be broadcast by its measured size; beyond
-    that a text is sent once per gram it shares with the index, and grams that very many texts hold
-    go to several tasks. About 80 bytes per character of one text are held at a time.
+    how many hold each gram that a term could be filed under, and to look up the rarest. Neither step shuffles texts
+    while the index is measured to be under BROADCAST_BYTES; beyond that a text is sent once per gram
+    it shares with the index, and grams that very many texts hold go to several tasks. About 80 bytes per character of one text are held at a time.
     """
     form = F.lower if ignore_case else (lambda c: c)
     rows = texts.where(F.col(f"`{text}`").isNotNull()).select(
         F.col(f"`{id}`").alias("__id"), form(F.col(f"`{text}`")).alias("__text"))
     named = terms.select(F.col(f"`{term_id}`").alias("__term_id"), form(F.col(f"`{term}`")).alias("__term")).where("__term != ''")
-    width = reduce(lambda other, w: F.when(F.length("__term") >= w, F.lit(w)).otherwise(other), sorted(WIDTHS), F.lit(0))
-    wanted = materialize(named.select("__term").distinct().withColumn("width", width), "terms")
-    widths = sorted(r[0] for r in wanted.select("width").distinct().collect())  # at most len(WIDTHS)
-    if not widths:
+    length, by_class = F.length("__term"), F.lit(None).cast("int")
+    for k, (least, _, _) in reversed([*enumerate(CLASSES)]):
+        by_class = F.when(length >= least, F.lit(k)).otherwise(by_class)
+    wanted = materialize(named.select("__term").distinct().withColumn("class", by_class), "terms")
+    used = sorted(r[0] for r in wanted.select("class").distinct().collect())  # at most len(CLASSES)
+    if not used:
         return rows.join(named, F.lit(False)).select(F.col("__id").alias(id), F.col("__term_id").alias(term_id))
-    by_width = reduce(lambda other, w: F.when(F.col("width") == w, _grams(F.col("__term"), w)).otherwise(other),
-                      widths[1:], _grams(F.col("__term"), widths[0]))
-    filed = materialize(wanted.select("__term", F.explode(by_width).alias("gram")), "term-grams")
-    held = _hits(rows, widths, _bitmap(filed.select("gram").distinct())).groupBy("gram").agg(
-        F.count(F.lit(1)).alias("n_texts"))
-    counted = filed.join(held, "gram", "left").groupBy("__term").agg(
-        F.min(F.coalesce("n_texts", F.lit(0))).alias("n_texts"),
-        F.min_by("gram", F.struct(F.coalesce("n_texts", F.lit(0)).alias("n"), F.col("gram").alias("g"))).alias("gram"))
-    index = materialize(counted.where("n_texts > 0"), "term-index")
-    most = index.agg(F.max("n_texts")).first()[0] or 0
-    deals = -(-most // ROWS_PER_GRAM) or 1
-    dealt = index.select("__term", "gram", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
-    hits = _hits(rows, widths, _bitmap(index.select("gram").distinct())).withColumn(
+    parts = []
+    for k in used:
+        _, width, stride = CLASSES[k]
+        own = wanted.where(F.col("class") == k).select(
+            "__term", "class", F.posexplode(_grams(F.col("__term"), width, 1)).alias("at", "gram"))
+        parts.append(own.select("__term", "class", F.lit(stride).alias("stride"), (F.col("at") % stride).alias("phase"), "gram"))
+    filed = materialize(reduce(DataFrame.unionAll, parts).distinct(), "term-grams")
+    # where a term has a choice, how many texts hold each of its grams
+    choice = filed.groupBy("__term", "phase").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__term", "phase")
+    open_grams = materialize(filed.join(choice, ["__term", "phase"], "left_semi").select("class", "gram").distinct(), "term-choice")
+    unsure = sorted(r[0] for r in open_grams.select("class").distinct().collect())
+    held = filed.select("gram", F.lit(None).cast("long").alias("n_texts")).limit(0)
+    if unsure:
+        held = _hits(rows, [CLASSES[k] for k in unsure], _bitmap(open_grams)).groupBy("gram").agg(
+            F.count(F.lit(1)).alias("n_texts")).join(open_grams.select("gram").distinct(), "gram", "left_semi")
+        known = open_grams.select("gram").distinct().join(held, "gram", "left").select("gram", F.coalesce("n_texts", F.lit(0)).alias("n_texts"))
+        held = materialize(known, "term-counts")
+    index = filed.join(held, "gram", "left").groupBy("__term", "stride", "phase").agg(
+        F.min("n_texts").alias("n_texts"),
+        F.min_by("gram", F.struct(F.coalesce("n_texts", F.lit(1 << 62)).alias("n"), F.col("gram").alias("g"))).alias("gram"))
+    index = materialize(index.where("n_texts is null or n_texts > 0"), "term-index")
+    most, uncounted = index.agg(F.max("n_texts"), F.count_if(F.col("n_texts").isNull())).first()
+    most = texts.count() if uncounted else most or 0
+    deals = min(MOST_DEALS, -(-most // ROWS_PER_GRAM) or 1)
+    dealt = index.select("__term", "stride", "phase", "gram", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
+    hits = _hits(rows, [CLASSES[k] for k in used], _bitmap(index.select("gram").distinct())).withColumn(
         "deal", F.pmod(F.xxhash64("__id"), F.lit(deals)).cast("int"))
-    found = hits.join(dealt, ["gram", "deal"]).where(F.contains("__text", "__term")).select("__id", "__term")
-    return found.join(named, "__term").select(F.col("__id").alias(id), F.col("__term_id").alias(term_id))
+    if (index.agg(F.sum(F.octet_length("__term") + 64)).first()[0] or 0) * deals <= BROADCAST_BYTES:
+        dealt = F.broadcast(dealt)
+    # the place of the first occurrence is needed only where a term is filed in several phases
+    in_phase = F.when(F.col("stride") == 1, F.lit(True)).otherwise(
+        F.pmod(1 - F.instr(F.col("__text"), F.col("__term")), "stride") == F.col("phase"))
+    found = hits.join(dealt, ["gram", "deal"]).where(F.contains("__text", "__term")).where(in_phase)
+    return found.select("__id", "__term").join(named, "__term").select(
+        F.col("__id").alias(id), F.col("__term_id").alias(term_id))

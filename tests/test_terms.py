@@ -42,6 +42,7 @@ def test_hot_grams_are_dealt_to_several_tasks(spark, monkeypatch):
     monkeypatch.setattr(T, "ROWS_PER_GRAM", 20)
     texts = [(i, "x" * (i % 5) + "hot word") for i in range(400)]
     terms = [(1, "hot word"), (2, "o"), (3, "xx"), (4, "hot wordy")]
+    monkeypatch.setattr(T, "BROADCAST_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         assert pairs(spark, texts, terms) == brute(texts, terms)
