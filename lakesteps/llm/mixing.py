@@ -3,13 +3,15 @@
 Documents are counted into cells (source, language, topic). Iterative proportional fitting scales
 the cells' tokens until their sums over each dimension meet that dimension's target shares. A
 document is drawn with the probability of its cell: target tokens over tokens there, times the
-share of all tokens to draw. All sums are DataFrame aggregates, so a dimension may have any number
+share of all tokens to draw; where that is above 1, the other cells are raked again. All sums are DataFrame aggregates, so a dimension may have any number
 of values; the driver sees one number per sweep.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -56,7 +58,8 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEP
     """``cells`` (dimensions, tokens) and ``fitted``: tokens scaled to the targets' shares.
 
     Shares of values that no cell has are spread over the others in proportion; values without a
-    target get none. Sweeps end once no cell moved by more than ``tolerance`` of itself.
+    target get none. Sweeps end once no cell moved by more than ``tolerance`` of itself; a warning
+    says if ``sweeps`` were not enough.
     """
     fixed = {}
     for dim, target in targets.items():
@@ -83,30 +86,104 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEP
         now = materialize(step, "rake")
         if (now.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
             break
+    else:
+        warnings.warn(f"raking ended after {sweeps} sweeps before cells came to rest")
     return now.drop("moved")
 
 
-def draw_rates(fitted: DataFrame, rate: float = RATE) -> DataFrame:
-    """Add ``probability``: fitted over observed tokens, scaled to draw ``rate`` of all tokens.
+def _filled(rows: DataFrame, share: str, cap: str, budget: float) -> Column:
+    """``share`` times one scale, at most ``cap``, such that all add up to ``budget`` if they can.
 
-    No document is drawn twice: cells that would need more than all their tokens give all, and the
-    rest of the budget goes to the other cells in proportion. Cells without tokens use the scale.
+    What full rows leave goes to the others in proportion. The driver sees two numbers per step.
     """
-    ratio = F.when(F.col("tokens") > 0, F.col("fitted") / F.col("tokens")).otherwise(1.0)
-    cells = fitted.withColumn("ratio", ratio)
-    scale = rate
+    scale, amount = 1.0, F.col(share)
     while True:
-        full = F.col("ratio") * scale >= 1
-        got = cells.agg(
-            F.sum("tokens").alias("all"), F.sum(F.when(full, F.col("tokens"))).alias("full"),
-            F.sum(F.when(~full, F.col("tokens") * F.col("ratio"))).alias("open")).first()
-        left = rate * (got["all"] or 0) - (got["full"] or 0)
+        full = amount * scale >= F.col(cap)
+        got = rows.agg(F.sum(F.when(full, F.col(cap))).alias("full"),
+                       F.sum(F.when(~full, amount)).alias("open")).first()
+        left = budget - (got["full"] or 0)
         new = left / got["open"] if got["open"] and left > 0 else scale
         if new <= scale * (1 + 1e-9):
-            break
+            return F.least(F.col(cap).cast("double"), amount * scale)
         scale = new
-    return cells.withColumn(
-        "probability", F.round(F.least(F.lit(1.0), F.col("ratio") * scale), 9)).drop("ratio")
+
+
+def reachable_goals(fitted: DataFrame, dim: str, budget: float) -> DataFrame:
+    """(value, tokens, target, goal) per value: its fitted tokens, and how many of ``budget`` to draw.
+
+    As no document is drawn twice a value cannot give more than all its tokens; what it lacks
+    goes to the other values in proportion to their targets.
+    """
+    sums = fitted.groupBy(F.col(dim).alias("value")).agg(
+        F.sum("tokens").alias("tokens"), F.sum("fitted").alias("target"))
+    whole = fitted.agg(F.sum("fitted")).first()[0] or 1.0
+    sums = materialize(sums.withColumn("start", F.col("target") * (budget / whole)), "goals")
+    return sums.withColumn("goal", _filled(sums, "start", "tokens", budget)).drop("start")
+
+
+def draw_rates(fitted: DataFrame, rate: float = RATE, sweeps: int = SWEEPS,
+               tolerance: float = TOLERANCE) -> DataFrame:
+    """Add ``probability``, such that ``rate`` of all tokens are drawn and shares meet the targets.
+
+    No document is drawn twice, so a cell gives at most all its tokens. Clipping and raking
+    alternate: per dimension the open cells of a value are scaled to what its full cells leave of
+    its goal (``reachable_goals``). Goals that no cells can meet together stay missed; a warning
+    says so, and ``mixing_report`` by how much. Cells without tokens get the rate.
+    """
+    budget = rate * (fitted.agg(F.sum("tokens")).first()[0] or 0)
+    whole = fitted.agg(F.sum("fitted")).first()[0] or 1.0
+    goals = {dim: materialize(reachable_goals(fitted, dim, budget).select(
+        F.col("value").alias(dim), "goal"), "goals") for dim in DIMENSIONS}
+    cap, now = F.col("tokens").cast("double"), F.col("expected")
+    cells = materialize(fitted.withColumns({
+        "expected": F.least(cap, F.col("fitted") * (budget / whole)), "moved": F.lit(0.0)}), "draw")
+    for _ in range(sweeps):
+        step = cells.withColumn("moved", F.lit(0.0))
+        for dim, goal in goals.items():
+            sums = step.groupBy(dim).agg(
+                F.sum("expected").alias("all"),
+                F.sum(F.when(now >= cap, now).otherwise(0.0)).alias("full")).join(goal, dim)
+            less = F.col("goal") < F.col("all")
+            factors = sums.select(
+                dim, less.alias("less"), F.when(less, F.col("goal") / F.col("all")).when(
+                    F.col("all") > F.col("full"), (F.col("goal") - F.col("full")) / (F.col("all") - F.col("full")))
+                .otherwise(1.0).alias("factor"))
+            step = step.join(factors, dim, "left").withColumn("next", F.when(
+                (now >= cap) & ~F.col("less"), now).otherwise(F.least(cap, now * F.col("factor"))))
+            step = step.withColumn("moved", F.greatest("moved", F.when(
+                now > 0, F.abs(F.col("next") / now - 1)).otherwise(0.0)))
+            step = step.drop("expected", "less", "factor").withColumnRenamed("next", "expected")
+        cells = materialize(step.select(cells.columns), "draw")
+        moved = cells.agg(F.max("moved")).first()[0] or 0.0
+        if moved <= tolerance:
+            break
+    else:
+        warnings.warn(f"draws do not meet all reachable targets: cells still move by {moved:.2g} of themselves")
+    drawn = _filled(cells, "expected", "tokens", budget)
+    return cells.withColumn("probability", F.round(F.when(cap > 0, F.least(F.lit(1.0), drawn / cap)).otherwise(
+        F.lit(float(rate))), 9)).drop("expected", "moved")
+
+
+def mixing_report(plan: DataFrame, mixed: DataFrame | None = None, rate: float = RATE) -> DataFrame:
+    """dimension, value, target, reachable, expected, and drawn if ``mixed`` is given: shares of tokens.
+
+    ``plan`` is what ``sampling_plan`` gives, ``mixed`` what ``mix_documents`` gives. A share is
+    null where nothing is drawn at all.
+    """
+    budget = rate * (plan.agg(F.sum("tokens")).first()[0] or 0)
+    parts = []
+    for dim in DIMENSIONS:
+        aims = reachable_goals(plan, dim, budget).select("value", "target", F.col("goal").alias("reachable"))
+        part = aims.join(plan.groupBy(F.col(dim).alias("value")).agg(
+            F.sum(F.col("tokens") * F.col("probability")).alias("expected")), "value")
+        if mixed is not None:
+            part = part.join(mixed.groupBy(F.col(dim).alias("value")).agg(
+                F.sum(F.when(F.col("selected"), F.col("n_tokens")).otherwise(0)).alias("drawn")), "value", "left")
+        part = materialize(part, "report")
+        sums = part.agg(*(F.sum(c).cast("double").alias(c) for c in part.columns[1:]))
+        parts.append(part.select(F.lit(dim).alias("dimension"), "value", *(
+            F.try_divide(F.col(c).cast("double"), sums.select(c).scalar()).alias(c) for c in part.columns[1:])))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _features(docs: DataFrame, text: str, source: str, lang: str, topic) -> dict[str, Column]:

@@ -234,6 +234,64 @@ def test_mixing_against_brute_force(spark):
     assert {r.doc_id for r in mixing.sample_to_targets(docs).collect()} == {r.doc_id for r in got if r.selected}
 
 
+def brute_draw(cells, goals, sweeps=500):
+    """Bounded raking of {cell: (tokens, expected)} by plain loops."""
+    now = {c: min(t, e) for c, (t, e) in cells.items()}
+    for _ in range(sweeps):
+        for k, goal in enumerate(goals):
+            for value, aim in goal.items():
+                mine = [c for c in cells if c[k] == value]
+                full = [c for c in mine if now[c] >= cells[c][0]]
+                total, shut = sum(now[c] for c in mine), sum(now[c] for c in full)
+                for c in mine:
+                    if aim < total:
+                        now[c] *= aim / total
+                    elif c not in full:
+                        now[c] = min(cells[c][0], now[c] * (aim - shut) / (total - shut))
+    return now
+
+
+def test_draws_meet_reachable_targets_after_clipping(spark):
+    """Cells that give all they have; a value that cannot reach its target; the others' shares hold."""
+    tokens = {("a", "x", "p"): 900, ("a", "y", "p"): 700, ("b", "x", "p"): 500, ("b", "y", "q"): 60,
+              ("a", "x", "q"): 40, ("b", "x", "q"): 50, ("a", "y", "q"): 80, ("b", "y", "p"): 400}
+    frame = spark.createDataFrame([(*c, t) for c, t in tokens.items()], "source string, lang string, topic string, tokens long")
+    share = lambda d: spark.createDataFrame(list(d.items()), "value string, share double")
+    targets = {"source": share({"a": .5, "b": .5}), "lang": share({"x": .5, "y": .5}), "topic": share({"p": .8, "q": .2})}
+    fitted = mixing.rake(frame, targets)
+    plan = materialize(mixing.draw_rates(fitted, 0.6))
+    got = {(r.source, r.lang, r.topic): r for r in plan.collect()}
+    budget = 0.6 * sum(tokens.values())
+    goals = [{"a": budget / 2, "b": budget / 2}, {"x": budget / 2, "y": budget / 2}, {"p": budget - 230, "q": 230}]
+    want = brute_draw({c: (r.tokens, r.fitted * 0.6) for c, r in got.items()}, goals)
+    for c, r in got.items():
+        assert r.tokens * r.probability == pytest.approx(want[c], rel=2e-3)
+        assert 0 <= r.probability <= 1
+    report = {(r.dimension, r.value): r for r in mixing.mixing_report(plan, rate=0.6).collect()}
+    assert report["topic", "q"].target == pytest.approx(0.2, rel=1e-3)
+    assert report["topic", "q"].reachable == pytest.approx(230 / budget, rel=1e-3)
+    for r in report.values():
+        assert r.expected == pytest.approx(r.reachable, rel=2e-3)
+
+
+def test_goals_that_exclude_each_other_are_warned_of(spark):
+    cells = spark.createDataFrame([("a", "x", "p", 100, 10.0), ("a", "y", "p", 10, 50.0), ("b", "x", "p", 10, 50.0),
+                                   ("b", "y", "p", 100, 10.0)], "source string, lang string, topic string, tokens long, fitted double")
+    lone = cells.where("not (source = 'b' and lang = 'y')")
+    with pytest.warns(UserWarning, match="reachable"):
+        plan = mixing.draw_rates(lone.withColumn("fitted", F.expr("if(source = 'b', 90D, 15D)")), 0.9, sweeps=3)
+    assert plan.agg(F.sum(F.col("tokens") * F.col("probability"))).first()[0] == pytest.approx(108, rel=1e-3)
+
+
+def test_drawn_shares_of_documents(spark):
+    """Expected shares are the reachable ones, drawn shares lie near them."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    plan = materialize(mixing.sampling_plan(docs))
+    for r in mixing.mixing_report(plan, mixing.mix_documents(docs)).collect():
+        assert r.expected == pytest.approx(r.reachable, rel=0.01), r
+        assert abs(r.drawn - r.expected) < 0.05, r
+
+
 def test_mixing_stated_targets_and_edges(spark, edge):
     lang = spark.createDataFrame([("en", 0.9), ("absent", 5.0), ("", 0.1)], "value string, share double")
     got = mixing.mix_documents(edge, targets={"lang": lang}, rate=1.0)
