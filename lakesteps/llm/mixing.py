@@ -13,7 +13,7 @@ import warnings
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lakesteps.llm.common import BLANKS, free_name, text_or_empty
 from lakesteps.session import materialize
@@ -53,6 +53,23 @@ def tempered_targets(cells: DataFrame, powers: Mapping[str, float]) -> dict[str,
     return targets
 
 
+def _with_goals(cells: DataFrame, goals: Mapping[str, DataFrame]) -> DataFrame:
+    """``cells`` with a column goal_<dimension> for each of ``goals`` (dimension, goal), joined once for all sweeps."""
+    for dim, goal in goals.items():
+        cells = cells.join(goal.withColumnRenamed("goal", f"goal_{dim}"), dim, "left")
+    return cells
+
+
+def _step(cells: DataFrame, label: str) -> tuple[DataFrame, float]:
+    """``cells`` written, and the most that any has ``moved``, taken as they are written.
+
+    Cells are written after each dimension: a plan over several would hold every step twice for each
+    that follows, and the driver keeps the plans.
+    """
+    seen = Observation()
+    return materialize(cells.observe(seen, F.max("moved").alias("moved")), label), seen.get.get("moved") or 0.0
+
+
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEPS,
          tolerance: float = TOLERANCE) -> DataFrame:
     """``cells`` (dimensions, tokens) and ``fitted``: tokens scaled to the targets' shares.
@@ -71,24 +88,22 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], sweeps: int = SWEEP
         fixed[dim] = materialize(met.select(
             F.col("value").alias(dim), (F.col("share") / sums.select("s").scalar()
                                         * sums.select("t").scalar()).alias("goal")), "rake-target")
-    now = materialize(cells.withColumns({
+    now = materialize(_with_goals(cells, fixed).withColumns({
         "fitted": F.col("tokens").cast("double"), "moved": F.lit(0.0)}), "rake")
     for _ in range(sweeps):
-        step = now.withColumn("moved", F.lit(0.0))
-        for dim, goal in fixed.items():
-            factors = step.groupBy(dim).agg(F.sum("fitted").alias("sum")).join(goal, dim).select(
-                dim, F.when(F.col("sum") > 0, F.col("goal") / F.col("sum"))
-                .otherwise(0.0).alias("factor"))
-            step = step.join(factors, dim, "left").withColumns({
+        now = now.withColumn("moved", F.lit(0.0))
+        for dim in fixed:
+            factors = now.groupBy(dim).agg(F.sum("fitted").alias("sum"), F.max(f"goal_{dim}").alias("goal")).select(
+                dim, F.when(F.col("sum") > 0, F.col("goal") / F.col("sum")).otherwise(0.0).alias("factor"))
+            now, moved = _step(now.join(factors, dim, "left").withColumns({
                 "fitted": F.col("fitted") * F.coalesce("factor", F.lit(0.0)),
                 "moved": F.greatest("moved", F.when(F.col("fitted") > 0, F.abs(F.coalesce("factor", F.lit(0.0)) - 1))),
-            }).drop("factor")
-        now = materialize(step, "rake")
-        if (now.agg(F.max("moved")).first()[0] or 0.0) <= tolerance:
+            }).drop("factor"), "rake")
+        if not fixed or moved <= tolerance:
             break
     else:
         warnings.warn(f"raking ended after {sweeps} sweeps before cells came to rest")
-    return now.drop("moved")
+    return now.drop("moved", *(f"goal_{dim}" for dim in fixed))
 
 
 def _filled(rows: DataFrame, share: str, cap: str, budget: float) -> Column:
@@ -135,33 +150,32 @@ def draw_rates(fitted: DataFrame, rate: float = RATE, sweeps: int = SWEEPS,
     goals = {dim: materialize(reachable_goals(fitted, dim, budget).select(
         F.col("value").alias(dim), "goal"), "goals") for dim in DIMENSIONS}
     cap, now = F.col("tokens").cast("double"), F.col("expected")
-    cells = materialize(fitted.withColumns({
+    cells = materialize(_with_goals(fitted, goals).withColumns({
         "expected": F.least(cap, F.col("fitted") * (budget / whole)), "moved": F.lit(0.0)}), "draw")
     for _ in range(sweeps):
-        step = cells.withColumn("moved", F.lit(0.0))
-        for dim, goal in goals.items():
-            sums = step.groupBy(dim).agg(
-                F.sum("expected").alias("all"),
-                F.sum(F.when(now >= cap, now).otherwise(0.0)).alias("full")).join(goal, dim)
+        cells = cells.withColumn("moved", F.lit(0.0))
+        for dim in goals:
+            sums = cells.groupBy(dim).agg(
+                F.sum("expected").alias("all"), F.max(f"goal_{dim}").alias("goal"),
+                F.sum(F.when(now >= cap, now).otherwise(0.0)).alias("full"))
             less = F.col("goal") < F.col("all")
             factors = sums.select(
                 dim, less.alias("less"), F.when(less, F.col("goal") / F.col("all")).when(
                     F.col("all") > F.col("full"), (F.col("goal") - F.col("full")) / (F.col("all") - F.col("full")))
                 .otherwise(1.0).alias("factor"))
-            step = step.join(factors, dim, "left").withColumn("next", F.when(
+            step = cells.join(factors, dim, "left").withColumn("next", F.when(
                 (now >= cap) & ~F.col("less"), now).otherwise(F.least(cap, now * F.col("factor"))))
             step = step.withColumn("moved", F.greatest("moved", F.when(
                 now > 0, F.abs(F.col("next") / now - 1)).otherwise(0.0)))
             step = step.drop("expected", "less", "factor").withColumnRenamed("next", "expected")
-        cells = materialize(step.select(cells.columns), "draw")
-        moved = cells.agg(F.max("moved")).first()[0] or 0.0
+            cells, moved = _step(step.select(cells.columns), "draw")
         if moved <= tolerance:
             break
     else:
         warnings.warn(f"draws do not meet all reachable targets: cells still move by {moved:.2g} of themselves")
     drawn = _filled(cells, "expected", "tokens", budget)
     return cells.withColumn("probability", F.round(F.when(cap > 0, F.least(F.lit(1.0), drawn / cap)).otherwise(
-        F.lit(float(rate))), 9)).drop("expected", "moved")
+        F.lit(float(rate))), 9)).drop("expected", "moved", *(f"goal_{dim}" for dim in goals))
 
 
 def mixing_report(plan: DataFrame, mixed: DataFrame | None = None, rate: float = RATE) -> DataFrame:

@@ -283,6 +283,20 @@ def test_goals_that_exclude_each_other_are_warned_of(spark):
     assert plan.agg(F.sum(F.col("tokens") * F.col("probability"))).first()[0] == pytest.approx(108, rel=1e-3)
 
 
+def test_sweeps_are_written_in_plans_of_one_join(spark, monkeypatch):
+    """The driver keeps plans; one over all dimensions of a sweep holds the first step eight times."""
+    written = []
+    monkeypatch.setattr(mixing, "materialize", lambda df, label="step": (
+        written.append((label, df._jdf.queryExecution().optimizedPlan().toString().count("Join "))), materialize(df, label))[1])
+    cells = spark.createDataFrame([("a", "x", "p", 90), ("a", "y", "q", 70), ("b", "x", "q", 50), ("b", "y", "p", 6)],
+                                  "source string, lang string, topic string, tokens long")
+    share = spark.createDataFrame([("a", .5), ("b", .5), ("x", .5), ("y", .5), ("p", .5), ("q", .5)], "value string, share double")
+    mixing.draw_rates(mixing.rake(cells, {d: share for d in mixing.DIMENSIONS}, sweeps=2), sweeps=2)
+    for label in ("rake", "draw"):
+        joins = [n for k, n in written if k == label]
+        assert len(joins) >= 2 and max(joins) <= 3
+
+
 def test_drawn_shares_of_documents(spark):
     """Expected shares are the reachable ones, drawn shares lie near them."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
