@@ -8,13 +8,19 @@ dropped at once. Each meeting is then checked by looking for the term, so the re
 Of a text only every STRIDE-th gram is taken, which makes a fourth of the grams. A term is filed once
 per place modulo the stride, as any of these may fall on the text's grams; the phase in which its
 first occurrence lies is the one that counts, so no pair comes twice.
+
+Grams are 64-bit codes that numpy makes of whole batches of texts, and a filter of the index's codes
+thins them before anything else is done with them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lakesteps.session import materialize
 
@@ -23,6 +29,8 @@ CLASSES = ((8, 5, 4), (3, 3, 1), (1, 1, 1))
 #: Bits of the filter that thins a text's grams before they become rows: 512 KiB whatever the number
 #: of terms. Grams it lets through by chance cost time and change nothing.
 FILTER_BITS = 22
+#: Characters whose grams are worked out at once, at about 40 bytes each.
+CHARS_AT_ONCE = 2_000_000
 #: Texts that one task may meet under one gram before the gram is dealt to several.
 ROWS_PER_GRAM = 1_000_000
 
@@ -33,36 +41,75 @@ BROADCAST_BYTES = 16 << 20
 MOST_DEALS = 64
 
 
-def _grams(text: Column, width: int, stride: int) -> Column:
-    """Stretches of ``width`` characters at every ``stride``-th place, in one pass over the text."""
-    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{width}}})).{{{stride}}}"), F.lit(1))
-
-
-def _place(gram: Column) -> Column:
-    return F.xxhash64(gram).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-
-
-def _bitmap(grams: DataFrame) -> Column:
-    """A scalar array of 64-bit words with the bits of ``gram`` set."""
-    spark, words = grams.sparkSession, 1 << (FILTER_BITS - 6)
-    bits = grams.select(
-        F.shiftright(_place(F.col("gram")), 6).alias("word"),
-        F.expr("shiftleft(1L, cast(xxhash64(gram) & 63 as int))").alias("bit"),
-    ).groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    dense = spark.range(words).join(bits, F.col("id") == F.col("word"), "left")
-    listed = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
-    return materialize(dense.agg(listed["bits"].alias("bits")), "gram-filter").scalar()
-
-
-def _hits(texts: DataFrame, classes: list[tuple[int, int, int]], bitmap: Column) -> DataFrame:
-    """``texts`` with one row per distinct gram that passes the filter.
-
-    The outer form of explode, as for the other the optimizer adds a test that works the grams out twice.
-    """
-    grams = [F.array_distinct(_grams(F.col("__text"), w, stride)) for _, w, stride in classes]
-    rows = texts.withColumn("gram", F.explode_outer(grams[0] if len(grams) == 1 else F.concat(*grams)))
-    word = F.get(bitmap, F.shiftright(_place(F.col("gram")), 6).cast("int"))
-    return rows.where(F.getbit(word, F.xxhash64("gram").bitwiseAND(F.lit(63)).cast("int")) == 1)
+def _codes(points: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit code for each stretch of ``width`` characters. Two that share one cost time and change nothing."""
+    n = max(0, len(points) - width + 1)
+    code = np.full(n, width, np.uint64)
+    for k in range(width):
+        code ^= points[k:k + n]
+        code *= np.uint64(0x9E3779B97F4A7C15)
+        code ^= code >> np.uint64(32)
+    return code
+
+
+def _grams(texts: list[str], width: int, stride: int, bits: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the text and code of its gram at every ``stride``-th place; with ``bits``, of those only that it lets through."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+    code = _codes(points, width)
+    at = np.arange(len(code)) if bits is None else np.flatnonzero(bits[code & np.uint64(len(bits) - 1)])
+    text = np.searchsorted(ends, at, "right")
+    start = np.r_[0, ends][text]
+    own = (at + width <= ends[text]) & ((at - start) % stride == 0)
+    return text[own], code[at[own]]
+
+
+def _parts(texts: list[str]) -> Iterator[list[str]]:
+    """``texts`` in runs of at most CHARS_AT_ONCE characters, or one text."""
+    first = size = 0
+    for k, text in enumerate(texts):
+        if k > first and size + len(text) > CHARS_AT_ONCE:
+            yield texts[first:k]
+            first, size = k, 0
+        size += len(text)
+    yield texts[first:]
+
+
+def _coded(rows: DataFrame, text: str, classes: list[tuple[int, int, int]], bitmap=None) -> DataFrame:
+    """``rows`` with ``grams``, the codes of the text's grams: in order, or with ``bitmap`` the distinct ones it lets through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little").view(bool)
+        for batch in batches:
+            sizes, codes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for some in _parts(batch.column(text).to_pylist()):
+                found = [_grams(some, width, stride, bits) for _, width, stride in classes]
+                no, code = (np.concatenate(x) for x in zip(*found))
+                if bits is not None:
+                    order = np.lexsort((code, no))
+                    no, code = no[order], code[order]
+                    new = np.r_[True, (no[1:] != no[:-1]) | (code[1:] != code[:-1])][:len(no)]
+                    no, code = no[new], code[new]
+                sizes.append(np.bincount(no, minlength=len(some)))
+                codes.append(code.view(np.int64))
+            ends = np.r_[0, np.cumsum(np.concatenate(sizes))].astype(np.int32)
+            grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(codes)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, grams], names=[*batch.schema.names, "grams"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("grams", T.ArrayType(T.LongType()))]))
+
+
+def _bitmap(grams: DataFrame):
+    """FILTER_BITS bits, those of ``gram`` set, for every task. The driver sees them as at most 65,536 numbers."""
+    place = F.col("gram").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    bits = grams.select(F.shiftright(place, 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(gram & 63 as int))").alias("bit"))
+    words, table = np.zeros(1 << (FILTER_BITS - 6), np.int64), bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words[table.column("word").to_numpy()] = table.column("bits").to_numpy()
+    return grams.sparkSession.sparkContext.broadcast(words.tobytes())
+
+
+def _hits(texts: DataFrame, classes: list[tuple[int, int, int]], bitmap) -> DataFrame:
+    """``texts`` with one row per distinct gram that passes the filter."""
+    return _coded(texts, "__text", classes, bitmap).withColumn("gram", F.explode("grams")).drop("grams")
 
 
 def term_matches(texts: DataFrame, terms: DataFrame, id: str, text: str, term_id: str, term: str,
@@ -89,8 +136,8 @@ def term_matches(texts: DataFrame, terms: DataFrame, id: str, text: str, term_id
     parts = []
     for k in used:
         _, width, stride = CLASSES[k]
-        own = wanted.where(F.col("class") == k).select(
-            "__term", "class", F.posexplode(_grams(F.col("__term"), width, 1)).alias("at", "gram"))
+        own = _coded(wanted.where(F.col("class") == k), "__term", [(0, width, 1)]).select(
+            "__term", "class", F.posexplode("grams").alias("at", "gram"))
         parts.append(own.select("__term", "class", F.lit(stride).alias("stride"), (F.col("at") % stride).alias("phase"), "gram"))
     filed = materialize(reduce(DataFrame.unionAll, parts).distinct(), "term-grams")
     # where a term has a choice, how many texts hold each of its grams

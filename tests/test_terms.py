@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from lakesteps.operators import terms as T
@@ -55,6 +56,21 @@ def test_no_terms_and_no_texts(spark):
     assert pairs(spark, [], [(1, "a")]) == Counter() == pairs(spark, [(1, None)], [(1, "a")])
 
 
+def test_grams_of_batches_of_texts(spark, monkeypatch):
+    """Grams come from whole batches, none of them over the end of a text, however the batch is cut."""
+    texts = ["", "abcdef", "x", "🙂éabcdefgh", "", "abcabcabcabc"]
+    for width, stride in [(1, 1), (3, 1), (5, 4)]:
+        code = lambda gram: T._grams([gram], width, 1, None)[1][0]
+        want = [(k, code(t[at:at + width])) for k, t in enumerate(texts) for at in range(0, len(t) - width + 1, stride)]
+        assert [*zip(*T._grams(texts, width, stride, None))] == want
+        assert [*zip(*T._grams(texts, width, stride, np.ones(1 << 22, bool)))] == want
+    monkeypatch.setattr(T, "CHARS_AT_ONCE", 7)
+    assert [len(p) for p in T._parts(texts)] == [3, 1, 1, 1]
+    frame = spark.createDataFrame([(1, "some text")], "__id int, __text string")
+    plan = T._coded(frame, "__text", [(3, 3, 1)])._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "regexp_extract_all" not in plan
+
+
 def test_plan_has_no_nested_loop(spark):
     texts = spark.createDataFrame([(1, "some text")], "id int, body string")
     terms = spark.createDataFrame([(1, "text")], "no int, word string")
