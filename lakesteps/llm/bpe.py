@@ -20,8 +20,10 @@ from lakesteps.llm.common import free_name, per_text, text_or_empty
 
 #: Words longer than this use a heap instead of scans.
 SHORT = 128
-#: Entries of a table of known words before it is emptied.
-KNOWN = 300_000
+#: Entries, and characters in them, of a table of known words before it is emptied.
+KNOWN, HELD = 300_000, 16 << 20
+#: Code points whose classes are compared at once.
+SIGNS = 1 << 13
 NEVER = 1 << 60
 #: White space of the pre-tokeniser; str.split() also splits at these four control characters.
 GAP = regex.compile(r"\p{White_Space}+")
@@ -39,21 +41,25 @@ def unlike_signs() -> tuple[dict[int, str], dict[int, str]]:
     """Where the Unicode versions used here and by the library differ.
 
     Code points whose class differs, each with a sign that has the class it has there; and code
-    points that only the library puts in lower case.
+    points that only the library puts in lower case. All are asked for, some thousand at a time: the
+    library gives an object per sign, which for all of Unicode at once took 550 MB of each worker.
     """
     from tokenizers import Regex, normalizers, pre_tokenizers
 
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    lines = normalizers.Lowercase().normalize_str("\n".join(every.replace("\n", " "))).split("\n")
-    lower = {ord(c): low for c, low in zip(every, lines) if c != "\n" and low != c == c.lower()}
-    rest = set(every)
-    unlike = {}
-    for kind, alike in ((r"\p{L}", "a"), (r"\p{N}", "0"), (r"\s", " ")):
-        kept = pre_tokenizers.Split(Regex(kind), "removed").pre_tokenize_str(every)
-        theirs = rest.difference(*(piece for piece, _ in kept))
-        ours = set(regex.findall(kind, every))
-        unlike |= {ord(c): "\u2603" for c in ours - theirs if ord(c) not in unlike}
-        unlike |= {ord(c): alike for c in theirs - ours}
+    fold = normalizers.Lowercase().normalize_str
+    kinds = [(kind, alike, pre_tokenizers.Split(Regex(kind), "removed"))
+             for kind, alike in ((r"\p{L}", "a"), (r"\p{N}", "0"), (r"\s", " "))]
+    unlike, lower = {}, {}
+    for start in range(0, 0x110000, SIGNS):
+        signs = "".join(chr(c) for c in range(start, start + SIGNS) if not 0xD800 <= c < 0xE000)
+        lines = fold("\n".join(signs.replace("\n", " "))).split("\n")
+        lower |= {ord(c): low for c, low in zip(signs, lines) if c != "\n" and low != c == c.lower()}
+        rest = set(signs)
+        for kind, alike, split in kinds:
+            theirs = rest.difference(*(piece for piece, _ in split.pre_tokenize_str(signs)))
+            ours = set(regex.findall(kind, signs))
+            unlike |= {ord(c): "\u2603" for c in ours - theirs if ord(c) not in unlike}
+            unlike |= {ord(c): alike for c in theirs - ours}
     return unlike, lower
 
 
@@ -70,16 +76,19 @@ def unordered_marks() -> str:
 
 
 class _Known(dict):
-    """Results by key, worked out when first asked for; emptied at KNOWN entries."""
+    """Results by key, worked out when first asked for; emptied at KNOWN entries or HELD characters."""
 
     def __init__(self, work):
         super().__init__()
-        self.work = work
+        self.work, self.held = work, 0
 
     def __missing__(self, key):
-        if len(self) >= KNOWN:
+        value = self.work(key)
+        if len(self) >= KNOWN or self.held >= HELD:
             self.clear()
-        value = self[key] = self.work(key)
+            self.held = 0
+        self.held += len(key) + len(value)
+        self[key] = value
         return value
 
 

@@ -1,7 +1,11 @@
 """The word vocabulary over all of Unicode, and secrets in more kinds of syntax."""
 
 import random
+import re
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import pytest
 from tokenizers import Tokenizer
@@ -34,6 +38,29 @@ def test_random_texts_of_all_code_points(both):
     assert [own.encode(t) for t in texts] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_loading_the_vocabulary_takes_little_memory():
+    """Each Python worker loads it, so what that takes for a moment counts as often as there are cores."""
+    repo = Path(__file__).resolve().parents[2]
+    out = subprocess.run([sys.executable, "-c", """if True:
+        from lakesteps.llm import bpe
+        import tokenizers
+        most = lambda: open("/proc/self/status").read().split("VmHWM:")[1].split()[0]
+        before = most()
+        bpe.load(bpe.vocabulary_path())
+        print(before, most())"""], cwd=repo, capture_output=True, text=True, check=True).stdout
+    before, after = map(int, re.findall(r"\d+", out))
+    assert (after - before) / 1024 < 200
+
+
+def test_known_words_are_bounded_by_their_characters(monkeypatch):
+    """Texts without white space are one word each."""
+    monkeypatch.setattr(bpe, "HELD", 1000)
+    known = bpe._Known(lambda w: w.upper())
+    for i in range(100):
+        assert known[f"{i:0300}"] == f"{i:0300}".upper()
+        assert sum(len(k) + len(v) for k, v in known.items()) <= 1600
+
+
 @pytest.mark.parametrize("text,found", [
     ('a = b = "Xy9$kLm2pQ"; password = a', ["Xy9$kLm2pQ"]), ('dbPassword = other = "Xy9$kLm2pQ"', ["Xy9$kLm2pQ"]),
     ('password=x="Xy9$kLm2pQ"', ["Xy9$kLm2pQ"]), ("const secret = `Xy9$kLm2pQ`", ["Xy9$kLm2pQ"]),
