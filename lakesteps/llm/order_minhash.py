@@ -8,9 +8,9 @@ words align, in order, with words of the shorter.
 
 Work per sketch value is linear: all texts with it are compared with the smallest one first. Only
 where that leaves texts in different classes are the pairs across classes compared. Where those
-would be very many, as with a passage that many texts hold, an index of rare words leaves out pairs
-that cannot align, and only those: texts of which 80 % align share one of the 20 % rarest words of
-each, and differ in few bits of a signature of their words.
+would be very many, as with a passage that many texts hold, they are first compared in blocks by a
+signature of their words, which leaves out pairs that cannot align, and only those: texts of which
+80 % align differ in few of its bits.
 """
 
 from __future__ import annotations
@@ -33,10 +33,11 @@ SHINGLE = 5
 #: 40 with probability 1 - 5e-10, 70 % alike 1 - 2e-5, 60 % alike 0.996.
 MINIMA, SKETCHES = 4, 40
 SIMILARITY = 0.8
-#: A sketch value that would take more comparisons across classes is compared by rare words.
-CROWD = 1000
+#: A sketch value that would take more comparisons across classes is compared by signatures first,
+#: in blocks of about so many texts.
+CROWD, BLOCK = 1000, 256
 #: Buckets in which words are counted for their rarity, and 64-bit parts of a signature.
-BUCKETS, PARTS = 1 << 18, 16
+BUCKETS, PARTS = 1 << 18, 64
 WORD = re.compile(r"\w+")
 
 
@@ -91,21 +92,33 @@ def _buckets(words: list[str]) -> np.ndarray:
     return (w % np.uint64(BUCKETS)).astype(np.int64)
 
 
+def _numbered_words(words: list[str]) -> np.ndarray:
+    return _numbered(np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words)))
+
+
+def _signature(w: np.ndarray) -> np.ndarray:
+    """The parity of the words in each of 64 * PARTS bits: texts differ in no more bits than words."""
+    mixed = (w ^ (w >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    bits = np.bincount((mixed >> np.uint64(32)).astype(np.int64) % (64 * PARTS), minlength=64 * PARTS) & 1
+    return np.packbits(bits.astype(np.uint8))
+
+
+def signature(words: list[str]) -> bytes:
+    """The signature of words told apart by occurrence number."""
+    return _signature(_numbered_words(words)).tobytes()
+
+
 def rare_words(words: list[str], counts: np.ndarray, least: float) -> tuple[list[int], list[int]]:
     """The words of which two texts share one if they align, and a signature, as 64-bit integers.
 
     Words are told apart by occurrence number and put in one order for all texts, rare ones (by
     the counts of their buckets) first. Of n words at least ``least`` align with equal words, so
-    the first of those is among the first (1 - least) * n + 1 in both texts. The signature
-    holds the parity of the words in each of its bits: texts differ in no more bits than words.
+    the first of those is among the first (1 - least) * n + 1 in both texts.
     """
     n = len(words)
-    w = _numbered(np.fromiter(map(_HASHES.__getitem__, words), np.uint64, n))
+    w = _numbered_words(words)
     first = np.lexsort((w, counts[_buckets(words)]))[:n - int(np.ceil(least * n - 1e-9)) + 1]
-    mixed = (w ^ (w >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    bits = np.bincount((mixed >> np.uint64(32)).astype(np.int64) % (64 * PARTS), minlength=64 * PARTS) & 1
-    parts = np.packbits(bits.astype(np.uint8)).view(np.int64)
-    return w[first].view(np.int64).tolist(), parts.tolist()
+    return w[first].view(np.int64).tolist(), _signature(w).view(np.int64).tolist()
 
 
 @lru_cache(maxsize=8)
@@ -221,26 +234,11 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _word_counts(texts: DataFrame) -> np.ndarray:
-    """For each bucket of words, how many texts hold a word of it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
-        for batch in slices(batches):
-            for text in batch.column("text").to_pylist():
-                counts[np.unique(_buckets(words_of(text)))] += 1
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "n"])
-
-    sums = texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    table, counts = sums.toArrow(), np.zeros(BUCKETS, np.int32)
-    counts[table.column("bucket").to_numpy()] = np.minimum(table.column("n").to_numpy(), 2**31 - 1)
-    return counts
-
-
 def _open_spots(spots: DataFrame, comps: DataFrame) -> DataFrame:
     """``spots`` (node, n, key, ...) of values in more than one class, with class and weight.
 
-    lone: not of the class most frequent there; cross: the number of comparisons it would take.
+    lone: not of the class most frequent there; all, most: the texts there, and those of that class;
+    cross: the number of comparisons it would take.
     """
     rest = [c for c in spots.columns if c not in ("key", "node")]
     placed = spots.join(comps, "node", "left").select(
@@ -249,28 +247,62 @@ def _open_spots(spots: DataFrame, comps: DataFrame) -> DataFrame:
     keys = sizes.groupBy("key").agg(
         F.sum("size").alias("all"), F.max("size").alias("most"),
         F.max_by("comp", F.struct("size", "comp")).alias("main")
-    ).where("all > most").select("key", "main", (F.col("all") * (F.col("all") - F.col("most"))).alias("cross"))
+    ).where("all > most").withColumn("cross", F.expr("all * (all - most)"))
     return materialize(placed.join(keys, "key").withColumn("lone", F.expr("comp != main")), "sketch-open")
 
 
 def _across(spots: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) with one value and different classes, each pair of a value once.
 
-    Texts whose numbers of words, or signatures if there are any, differ too much to align are no
-    pair.
+    Texts whose numbers of words differ too much to align are no pair.
     """
     some = spots.where("lone").select(
-        "key", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("comp").alias("comp_x"),
-        *(F.col(c).alias(f"{c}_x") for c in spots.columns if c == "bits"))
+        "key", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("comp").alias("comp_x"))
     fits = (F.expr("comp_x < comp or (comp_x != comp and not lone)")
             & (F.least("n_x", "n") >= similarity * F.greatest("n_x", "n") - 1e-9))
-    if "bits" in spots.columns:
-        apart = " + ".join(f"bit_count(bits[{k}] ^ bits_x[{k}])" for k in range(PARTS))
-        fits &= F.expr(f"{apart} <= n + n_x - 2 * ({similarity!r}D * greatest(n, n_x) - 1e-9D)")
     return some.join(spots, "key").where(fits).select(
         F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
 
 
+def _across_crowds(spots: DataFrame, bodies: DataFrame, similarity: float) -> DataFrame:
+    """What ``_across`` gives, each pair once, without pairs whose signatures differ too much to align.
+
+    Lone texts of a value and all its texts are dealt into blocks, and each block of the one is
+    compared with each of the other inside a task: pairs that cannot align never become rows. A
+    pair that shares several values comes from the smallest.
+    """
+    held = materialize(spots.groupBy("node").agg(F.collect_set("key").alias("keys")), "sketch-values")
+    crowded = materialize(bodies.join(held.hint("shuffle_hash"), "node").select("node", "keys", "text"), "sketch-crowd")
+    marks = materialize(per_text(crowded, lambda ts: [(signature(words_of(t)),) for t in ts], "bits binary"), "sketch-crowd")
+    blocks = spots.withColumns({
+        "of_all": F.ceil(F.col("all") / BLOCK), "of_lone": F.ceil((F.col("all") - F.col("most")) / BLOCK)})
+    rows = ["key", "node", "n", "comp", "lone"]
+    every = blocks.select(
+        *rows, F.lit(False).alias("first"), F.expr("pmod(xxhash64(node), of_all)").alias("i"),
+        F.explode(F.expr("sequence(0L, of_lone - 1)")).alias("j"))
+    lone = blocks.where("lone").select(
+        *rows, F.lit(True).alias("first"), F.explode(F.expr("sequence(0L, of_all - 1)")).alias("i"),
+        F.expr("pmod(xxhash64(node, 1), of_lone)").alias("j"))
+
+    def compare(block: pa.Table) -> pa.Table:
+        key = block.column("key")[0].as_py()
+        node, n, comp, alone, first = (block.column(c).to_numpy() for c in ("node", "n", "comp", "lone", "first"))
+        bits = np.frombuffer(b"".join(block.column("bits").to_pylist()), np.uint64).reshape(len(node), -1)
+        keys = [set(k) for k in block.column("keys").to_pylist()]
+        others, pairs = np.flatnonzero(~first), []
+        for x in np.flatnonzero(first):
+            long, short = np.maximum(n[x], n[others]), np.minimum(n[x], n[others])
+            fits = (comp[x] < comp[others]) | ((comp[x] != comp[others]) & ~alone[others])
+            some = others[fits & (short >= similarity * long - 1e-9)]
+            apart = np.bitwise_count(bits[some] ^ bits[x]).sum(axis=1, dtype=np.int64)
+            most = n[x] + n[some] - 2 * (similarity * np.maximum(n[x], n[some]) - 1e-9)
+            pairs += ((x, y) for y in some[apart <= most] if min(keys[x] & keys[y]) == key)
+        both = node[np.array(pairs, np.int64).reshape(-1, 2)]
+        return pa.table({"a": both.min(axis=1), "b": both.max(axis=1)})
+
+    return every.union(lone).join(marks, "node").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text",
                  similarity: float = SIMILARITY, minima: int = MINIMA, sketches: int = SKETCHES,
                  crowd: int = CROWD) -> DataFrame:
@@ -304,15 +336,7 @@ def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text",
     comps = components(links)
     spread = _open_spots(members, comps)
     cheap = F.col("cross") <= crowd
-    values = materialize(spread.where(~cheap).groupBy("node").agg(F.collect_set("key").alias("keys")), "sketch-values")
-    crowded = materialize(bodies.join(values.select("node").hint("shuffle_hash"), "node"), "sketch-crowd")
-    counts = _word_counts(crowded)
-    rare = per_text(crowded, lambda ts: [rare_words(words_of(t), counts, similarity) for t in ts],
-                    "words array<long>, bits array<long>")
-    rare = _open_spots(rare.select("node", "n", "bits", F.explode("words").alias("key")), comps)
-    near = _across(rare, similarity).distinct()
-    near = near.join(values.toDF("a", "keys_a"), "a").join(values.toDF("b", "keys_b"), "b").where(
-        F.arrays_overlap("keys_a", "keys_b")).select("a", "b")
+    near = _across_crowds(spread.where(~cheap), bodies, similarity)
     across = _across(spread.where(cheap), similarity).union(near).distinct()
     across = across.join(stars, ["a", "b"], "left_anti")
     more = _verify(across, bodies, similarity)

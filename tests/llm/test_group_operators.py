@@ -181,6 +181,39 @@ def test_crowds_find_what_direct_comparison_finds(spark):
     assert rows(order_minhash.near_duplicates(df, crowd=0)) == whole
 
 
+def test_pairs_of_a_crowd_that_cannot_align_never_become_rows(spark, monkeypatch):
+    """Unlike texts around one passage: they share words, too few to align, and all sketch values of it."""
+    rnd = random.Random(4)
+    passage = [f"p{i}" for i in range(570)]
+    texts = [passage + [f"w{rnd.randrange(2000)}" for _ in range(215)] for _ in range(60)]
+    texts += [[*t[:-3], "x", "y", "z"] for t in texts[:2]] + [passage + texts[0][600:] + texts[5][570:600]]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    compared, verify = [], order_minhash._verify
+    monkeypatch.setattr(order_minhash, "_verify", lambda pairs, *a: (compared.append(rows(pairs)), verify(pairs, *a))[1])
+    got = {r[0]: r[1] for r in rows(order_minhash.near_duplicates(df, crowd=0))}
+    assert got == {i: i for i in range(60)} | {60: 0, 61: 1, 62: 0}
+    stars, across = compared
+    assert len(across) == len(set(across)) < len(texts)
+
+
+@pytest.mark.parametrize("block", [1, 7, 10**6])
+def test_blocks_of_a_crowd_give_each_pair_once(spark, monkeypatch, block):
+    """The pairs are those of the direct join, less some whose words differ too much, however texts are dealt."""
+    monkeypatch.setattr(order_minhash, "BLOCK", block)
+    rnd = random.Random(8)
+    texts = {i: [f"w{rnd.randrange(40)}" for _ in range(rnd.randint(20, 26))] for i in range(40)}
+    for i in range(40, 60):
+        texts[i] = [w if rnd.random() > 0.1 else "new" for w in texts[i - 40]]
+    bodies = spark.createDataFrame([(i, len(t), " ".join(t)) for i, t in texts.items()], "node long, n long, text string")
+    members = spark.createDataFrame([(i, len(texts[i]), k) for i in texts for k in range(4) if (i % 20) % (k + 1) == 0], "node long, n long, key long")
+    spots = order_minhash._open_spots(members, spark.createDataFrame([(i, i % 3) for i in range(9)], "node long, comp long"))
+    direct = rows(order_minhash._across(spots, 0.8).distinct())
+    got = rows(order_minhash._across_crowds(spots, bodies, 0.8))
+    assert len(got) == len(set(got)) and set(got) <= set(direct)
+    assert {(a, b) for a, b in direct if order_minhash.aligns(texts[a], texts[b])} <= set(got)
+    assert 10 < len(got) < len(direct)
+
+
 def test_near_duplicates_edges(spark, edge):
     got = order_minhash.near_duplicates(edge)
     assert rows(got.where("doc_id is not null")) == [(1, 1, True), (2, 1, False), (3, 3, True), (5, 3, False), (5, 3, False), (7, 7, True), (8, 8, True)]
